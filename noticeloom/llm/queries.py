@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from noticeloom.llm.canonical import p6_found
 from noticeloom.llm.history import p1_found
+from noticeloom.llm.near import p3_found
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p3_found": p3_found, "p6_found": p6_found}
 ORACLE: dict[str, str] = {}
