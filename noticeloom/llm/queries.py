@@ -6,9 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from noticeloom.llm.boilerplate import p5_found
 from noticeloom.llm.canonical import p6_found
 from noticeloom.llm.history import p1_found
+from noticeloom.llm.mix import p8_selection, p8_shares
 from noticeloom.llm.near import p3_found
+from noticeloom.llm.pack import p7_containers
+from noticeloom.llm.split import p9_found, p9_pieces
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p3_found": p3_found, "p6_found": p6_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p3_found": p3_found,
+    "p5_found": p5_found,
+    "p6_found": p6_found,
+    "p7_containers": p7_containers,
+    "p8_selection": p8_selection,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_pieces": p9_pieces,
+}
 ORACLE: dict[str, str] = {}
