@@ -1,21 +1,22 @@
 """Problem 1: new batches against all history, through a persisted minwise index.
 
-The index is a folder of Parquet files, one directory per key bucket (``bucket=n``). Each
-row holds one key of an accepted row: a minwise band key over the title's letter trigrams
-(bound to number and year, so calls of other numbers never meet), or the key of its link.
-Beside the key stand the words or the link themselves, so that a hit is verified without
-reading any record again. A batch reads only the buckets its own keys fall into, keeps of
-them only rows with one of its keys, verifies, and appends what the index lacks.
-
-Cases: null or blank titles and links have no key and repeat nothing; a title without
-number, year or subject is only found by its link; rows with equal titles or links meet
-through their first row (a star), never pairwise; repeated ids are one row; an empty batch
-changes nothing; other columns are ignored.
+What a row says of its call are at most two nodes: its title (number, year, content words)
+and its link. The index is two folders of Parquet files, each cut into buckets by a hash
+(``bucket=n`` directories): ``keys`` with one row for each key of a node (minwise band keys
+over the title's letter trigrams, bound to number and year so that calls of other numbers
+never meet; one key for a link), and ``nodes`` with the words or the link and the call they
+belong to, so that hits are verified without reading any record again. A batch reads only
+the buckets its keys fall into, keeps of them only rows with one of its keys, verifies, and
+appends the nodes that the index lacks.
+
+Cases: null or blank titles and links have no node and repeat nothing; a title without
+number, year or subject is only found by its link; rows with equal titles or links are one
+node, never pairs; repeated ids are one row; an empty batch changes nothing; other columns
+are ignored.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -35,9 +36,11 @@ BANDS, ROWS = 10, 2
 BUCKETS = 32
 #: Content words that a title needs at least, for its subject to count as named.
 LEAST_WORDS = 2
+#: Share of the shorter title's words that must be met letter for letter before a closer look.
+WHOLE_WORDS = 0.35
 
-_READ = "id bigint, named long, words string, link string, name_keys array<bigint>"
-INDEX_SCHEMA = "key bigint, call bigint, named long, words string, link string, bucket int"
+_READ = "id bigint, named bigint, words string, link string, name_keys array<bigint>"
+_KEYS, _NODES = "key bigint, node bigint, bucket int", "node bigint, call bigint, words string, link string, bucket int"
 
 
 def read_rows(df: DataFrame, id_col: str, title: str, link: str, issuers: Iterable[str], listings: frozenset[str] = LISTINGS) -> DataFrame:
@@ -67,6 +70,16 @@ def _same_subject(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([same_subject(x, y) for x, y in zip(a, b)])
 
 
+def verified(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Pairs of titles (content words in columns ``a`` and ``b``) that name the same subject.
+
+    Most chance hits share few whole words and are dropped before the letter-wise comparison.
+    """
+    x, y = F.split(a, " "), F.split(b, " ")
+    common = F.size(F.array_intersect(x, y)) >= WHOLE_WORDS * F.least(F.size(x), F.size(y))
+    return pairs.where(common).where(_same_subject(a, b))
+
+
 class HistoryIndex:
     """The persisted index: ``seen(batch)`` gives the repeats of a batch and takes the batch in."""
 
@@ -74,105 +87,91 @@ class HistoryIndex:
         self.spark, self.buckets = spark, buckets
         self.path = path or f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
         self.parts = 0
+        self.aliases: DataFrame | None = None  # calls found to be one with an earlier call
 
-    def _stored(self, hit: list[int]) -> DataFrame:
-        df = self.spark.read.schema(INDEX_SCHEMA).parquet(f"{self.path}/keys")
-        return df.where(F.col("bucket").isin(hit)) if len(hit) < self.buckets else df
+    def _stored(self, part: str, schema: str, wanted: DataFrame, col: str) -> DataFrame:
+        """Rows of the index whose ``col`` is among ``wanted``, from the matching buckets only."""
+        wanted = written(wanted.select(F.col(wanted.columns[0]).alias(col)).distinct(), f"wanted-{part}")
+        hit = [r[0] for r in wanted.select(F.pmod(col, F.lit(self.buckets)).cast("int")).distinct().collect()]  # at most self.buckets
+        df = self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
+        df = df.where(F.col("bucket").isin(hit)) if len(hit) < self.buckets else df
+        return df.join(F.broadcast(wanted) if wanted.count() * 24 <= BROADCAST_BYTES else wanted, col, "left_semi")
 
-    def _keys(self, rows: DataFrame) -> DataFrame:
-        """One row for each key: band keys carry the words, the link key the link."""
-        link_key = F.xxhash64(F.lit("link"), "link")
-        keys = F.transform("name_keys", lambda k: F.struct(k.alias("key"), F.col("words").alias("words"), F.lit(None).cast("string").alias("link")))
-        keys = F.when(F.col("link").isNotNull(), F.array_append(keys, F.struct(link_key.alias("key"), F.lit(None).cast("string").alias("words"), F.col("link").alias("link")))).otherwise(keys)
-        return rows.select("id", "named", F.explode(keys).alias("k")).select("id", "named", "k.*").withColumn("bucket", F.pmod("key", F.lit(self.buckets)).cast("int"))
+    def _store(self, df: DataFrame, part: str, col: str) -> None:
+        df = df.withColumn("bucket", F.pmod(col, F.lit(self.buckets)).cast("int")).repartition("bucket")
+        df.sortWithinPartitions("bucket", col).write.mode("append").partitionBy("bucket").parquet(f"{self.path}/{part}")
 
     def seen(self, rows: DataFrame) -> DataFrame:
         """``id, call``: every row of the batch with the first row of its call (itself if new)."""
-        spark = self.spark
-        # rows of one title or one link are one node; its first row stands for it
-        by_words = rows.where("named is not null").groupBy("named", "words").agg(F.min("id").alias("first"), F.first("name_keys").alias("name_keys"))
-        by_link = rows.where("link is not null").groupBy("link").agg(F.min("id").alias("first"))
-        nodes = by_words.select(F.col("first").alias("id"), "named", "words", F.lit(None).cast("string").alias("link"), "name_keys").unionByName(
-            by_link.select(F.col("first").alias("id"), F.lit(None).cast("bigint").alias("named"), F.lit(None).cast("string").alias("words"), "link", F.array().cast("array<bigint>").alias("name_keys"))
-        )
-        keys = written(self._keys(nodes), "batch-keys")
-        stars = rows.join(by_words.select("named", "words", "first"), ["named", "words"]).select("id", "first").unionByName(rows.join(by_link, "link").select("id", "first")).where("id <> first")
-        names = keys.where("words is not null")
-        a, b = names.select("key", "named", F.col("id").alias("first"), F.col("words").alias("words_a")), names.select("key", "named", "id", F.col("words").alias("words_b"))
-        inside = a.join(b, ["key", "named"]).where("first < id").select("first", "id", "words_a", "words_b").distinct()
-        edges = stars.unionByName(inside.where(_same_subject("words_a", "words_b")).select("id", "first"))
+        rows = rows.withColumn("by_title", F.when(F.col("named").isNotNull(), F.xxhash64("named", "words"))).withColumn("by_link", F.when(F.col("link").isNotNull(), F.xxhash64(F.lit("link"), "link")))
+        titles = rows.where("by_title is not null").groupBy(F.col("by_title").alias("node")).agg(F.min("id").alias("first"), F.first("words").alias("words"), F.first("name_keys").alias("name_keys"))
+        links = rows.where("by_link is not null").groupBy(F.col("by_link").alias("node")).agg(F.min("id").alias("first"), F.first("link").alias("link"))
+        nodes = written(titles.withColumn("link", F.lit(None).cast("string")).unionByName(links.withColumns({"words": F.lit(None).cast("string"), "name_keys": F.array().cast("array<bigint>")})), "batch-nodes")
+        keys = nodes.select("node", F.explode(F.when(F.col("link").isNotNull(), F.array("node")).otherwise(F.col("name_keys"))).alias("key"))
+        words = nodes.where("words is not null").select("node", "words")
+        pairs = keys.alias("x").join(keys.alias("y"), "key").where("x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+        pairs = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
+        edges = verified(pairs, "wa", "wb").select("a", "b")
+        edges = written(edges.unionByName(rows.where("by_title is not null and by_link is not null").select(F.col("by_title").alias("a"), F.col("by_link").alias("b")).distinct()), "batch-edges")
+        start = nodes.select("node", "first")
         hits = None
         if self.parts:
-            hits = written(self._hits(keys), "batch-hits")
-            calls = hits.groupBy("id").agg(F.min("call").alias("call"))
-            bridged = hits.join(calls.withColumnRenamed("call", "root"), "id").where("call <> root").select(F.col("call").alias("id"), F.col("root").alias("first"))
-            edges = edges.unionByName(calls.select("id", F.col("call").alias("first"))).unionByName(bridged)
-        edges = written(edges.distinct(), "batch-edges")
-        labels = components(edges)
-        found = rows.select("id").distinct().join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("call"))
-        found = written(found, "batch-calls")
-        self._append(keys, found, hits, labels)
+            hits = written(self._hits(nodes, keys), "batch-hits")
+            earliest = hits.groupBy("node").agg(F.min("call").alias("call"))
+            start = start.join(earliest, "node", "left").select("node", F.least("first", "call").alias("first"))
+        labels = components(written(start, "batch-start"), edges)
+        t, k = labels.select(F.col("node").alias("by_title"), F.col("label").alias("lt")), labels.select(F.col("node").alias("by_link"), F.col("label").alias("lk"))
+        found = rows.select("id", "by_title", "by_link").join(t, "by_title", "left").join(k, "by_link", "left").groupBy("id").agg(F.min(F.least("id", "lt", "lk")).alias("call"))
+        self._append(nodes, keys, labels, hits)
         return found
 
-    def _hits(self, keys: DataFrame) -> DataFrame:
-        """Verified hits of the batch's keys in the index: ``id, key, call`` (calls by their first row)."""
-        buckets = [r[0] for r in keys.select("bucket").distinct().collect()]  # at most self.buckets
-        stored = self._stored(buckets)
-        wanted = keys.select("key").distinct()
-        if keys.count() * 24 <= BROADCAST_BYTES:
-            stored = stored.join(F.broadcast(wanted), "key", "left_semi")
-        pairs = keys.alias("n").join(stored.alias("o"), "key")
-        names = pairs.where("n.words is not null and o.words is not null and n.named = o.named").select("n.id", "key", "o.call", F.col("n.words").alias("words_a"), F.col("o.words").alias("words_b"))
-        same = names.where("words_a = words_b").select("id", "key", "call")
-        near = names.where("words_a <> words_b").where(_same_subject("words_a", "words_b")).select("id", "key", "call")
-        links = pairs.where("n.link = o.link").select("n.id", "key", "o.call")
-        hits = same.unionByName(near).unionByName(links).distinct()
+    def _hits(self, nodes: DataFrame, keys: DataFrame) -> DataFrame:
+        """Verified hits of the batch in the index: ``node, known (the index's node), call``."""
+        met = self._stored("keys", _KEYS, keys.select("key"), "key").select("key", F.col("node").alias("known"))
+        pairs = written(keys.join(met, "key").select("node", "known").distinct(), "batch-met")
+        there = self._stored("nodes", _NODES, pairs.select("known"), "node").select(F.col("node").alias("known"), "call", F.col("words").alias("w_known"))
+        pairs = pairs.join(there, "known").join(nodes.select("node", "words"), "node")
+        near = verified(pairs.where("node <> known and words is not null and w_known is not null"), "words", "w_known")
+        hits = pairs.where("node = known").select("node", "known", "call").unionByName(near.select("node", "known", "call"))
         if self.aliases is not None:
-            hits = hits.join(self.aliases, hits["call"] == self.aliases["old"], "left").select("id", "key", F.coalesce("root", "call").alias("call"))
+            hits = hits.join(self.aliases, hits["call"] == self.aliases["old"], "left").select("node", "known", F.coalesce("root", "call").alias("call"))
         return hits
 
-    aliases: DataFrame | None = None
-
-    def _append(self, keys: DataFrame, found: DataFrame, hits: DataFrame | None, labels: DataFrame) -> None:
-        """Takes the batch's keys in, but for those by which its call is known already."""
-        new = keys.join(found, "id")
+    def _append(self, nodes: DataFrame, keys: DataFrame, labels: DataFrame, hits: DataFrame | None) -> None:
+        """Takes in the batch's nodes that the index lacks, and notes calls that turned out to be one."""
+        new = nodes.join(labels, "node").select("node", F.col("label").alias("call"), "words", "link", "name_keys")
         if hits is not None:
-            new = new.join(hits.select("id", "key", "call").distinct(), ["id", "key", "call"], "left_anti")
-            bridged = labels.join(hits.select(F.col("call").alias("id")).distinct(), "id").where("id <> label").select(F.col("id").alias("old"), F.col("label").alias("root"))
-            bridged = written(bridged, "aliases")
-            if not bridged.isEmpty():
+            new = new.join(hits.where("node = known").select("node").distinct(), "node", "left_anti")
+            one = written(hits.select("node", "call").join(labels, "node").where("call <> label").groupBy(F.col("call").alias("old")).agg(F.min("label").alias("root")), "aliases")
+            if not one.isEmpty():
                 older = self.aliases
                 if older is not None:
-                    older = older.alias("x").join(bridged.alias("y"), F.col("x.root") == F.col("y.old"), "left").select("x.old", F.coalesce("y.root", "x.root").alias("root"))
-                self.aliases = written(bridged if older is None else older.unionByName(bridged), "aliases")
-        new = new.select("key", "call", "named", "words", "link", "bucket").dropDuplicates(["key", "call", "words", "link"])
-        new.repartition("bucket").sortWithinPartitions("bucket", "key").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/keys")
+                    older = older.alias("x").join(one.alias("y"), F.col("x.root") == F.col("y.old"), "left").select("x.old", F.coalesce("y.root", "x.root").alias("root"))
+                self.aliases = written(one if older is None else older.unionByName(one), "aliases")
+        self._store(new.select("node", "call", "words", "link"), "nodes", "node")
+        self._store(new.select("node", F.explode(F.when(F.col("link").isNotNull(), F.array("node")).otherwise(F.col("name_keys"))).alias("key")).select("key", "node"), "keys", "key")
         self.parts += 1
 
 
-def components(edges: DataFrame, most: int = 30) -> DataFrame:
-    """``id, label``: the least id of each node's connected component.
+def components(start: DataFrame, edges: DataFrame, most: int = 40) -> DataFrame:
+    """``node, label``: the least ``first`` in each node's connected component.
 
-    Large-star and small-star rounds by turns: each is one shuffle by node, keeps no
-    neighbour list whole, and the number of rounds grows with the logarithm of the longest
-    chain. Ends when a round changes nothing.
+    ``start`` holds ``node, first``, ``edges`` pairs of nodes. Each round passes the least
+    label on to the neighbours and then jumps to the label of the node that had it first;
+    only nodes with an edge take part. Ends when a round changes nothing.
     """
-    now = edges.select(F.greatest("id", "first").alias("u"), F.least("id", "first").alias("v")).where("u <> v").distinct()
-    mark = None
+    both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    labels = start.withColumnRenamed("first", "label").join(both.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
     for _ in range(most):
-        # large star: every larger neighbour to the least neighbour
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        # small star: every smaller neighbour and the node itself to the least one
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        now = written(small, "components")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == mark:
+        near = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("seen"))
+        new = labels.join(near, "node").select("node", F.least("label", "seen").alias("new"), "label")
+        # whoever shares a label shares its improvement
+        jump = new.groupBy("label").agg(F.min("new").alias("jump"))
+        new = written(new.join(jump, "label").select("node", F.least("new", "jump").alias("new"), "label"), "labels")
+        labels = new.select("node", F.col("new").alias("label"))
+        if new.where("new <> label").isEmpty():
             break
-        mark = state
-    return now.select(F.col("u").alias("id"), F.col("v").alias("label"))
+    return start.join(labels, "node", "left").select("node", F.coalesce("label", "first").alias("label"))
 
 
 def repeats(edital: DataFrame, issuers: Iterable[str], path: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from functools import lru_cache
 from urllib.parse import unquote
@@ -17,6 +18,7 @@ STOP_WORDS = "de do da dos das e em com para por a o as os ao aos no na nos nas
 TRACKING = ("utm_", "gclid", "fbclid", "mc_cid", "mc_eid", "msclkid", "origem", "ref_src")
 # ------------------------------------------------------------------------------------
 
+_MARKS = re.compile("[" + "".join(re.escape(chr(i)) for i in range(sys.maxunicode) if unicodedata.combining(chr(i))) + "]+")
 _STOP = frozenset(STOP_WORDS)
 _EMPTY = frozenset(KIND_WORDS) | frozenset(DECORATION_WORDS)
 _NUMBER_YEAR = re.compile(r"(?<!\d)(\d{1,4})\s*(?:/|-|\.|,|\bde\b|\s)\s*((?:19|20)\d\d)(?!\d)")
@@ -50,8 +52,9 @@ def plain(text: str | None) -> str:
     """Lower case without diacritics, broken encodings repaired."""
     if not text:
         return ""
-    text = unicodedata.normalize("NFKD", repaired(text)).lower()
-    return "".join(ch for ch in text if not unicodedata.combining(ch))
+    if text.isascii():
+        return text.lower()
+    return _MARKS.sub("", unicodedata.normalize("NFKD", repaired(text)).lower())
 
 
 @lru_cache(maxsize=200_000)
