@@ -25,6 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from noticeloom.llm.minwise import bands, grams, signature
 from noticeloom.llm.titles import read_link, read_title, same_subject
@@ -65,7 +66,7 @@ def read_rows(df: DataFrame, id_col: str, title: str, link: str, issuers: Iterab
     return slim.mapInPandas(read, _READ)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def _same_subject(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([same_subject(x, y) for x, y in zip(a, b)])
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from noticeloom.llm.boilerplate import p5_found
 from noticeloom.llm.canonical import p6_found
 from noticeloom.llm.history import p1_found
+from noticeloom.llm.match import p4_found, p4_matches
 from noticeloom.llm.mix import p8_selection, p8_shares
 from noticeloom.llm.near import p3_found
 from noticeloom.llm.pack import p7_containers
@@ -17,6 +18,8 @@ from noticeloom.llm.split import p9_found, p9_pieces
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_matches": p4_matches,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p7_containers": p7_containers,
