@@ -1,15 +1,16 @@
 """Problem 9: texts above a token limit cut at natural boundaries, by agglomerative merging.
 
-A text is cut into atomic segments at every boundary it has (paragraphs, lines, sentences,
-clauses, words), each with its strength. Adjacent segments wait in a heap; the weakest
+A text is cut into atomic segments at its boundaries (paragraphs, lines, sentences; within a
+segment too long for a piece also clauses, then words), each with its strength. Adjacent segments wait in a heap; the weakest
 boundary goes first (of equals the one whose merge is smallest, then the earliest) as long
 as the merged segment plus the overlap fits the limit. What remains are the pieces; each
 but the first starts with the last ``overlap`` tokens of the text before it.
 
 Tokens are those of the whole text, so pieces are exact slices of it; a piece begins at the
-character that holds its first token (at most three bytes earlier). A piece that its own
-tokenization finds larger than the limit gives up overlap tokens at its start, which
-happens only where a run of blanks was cut.
+character that holds its first token (at most three bytes earlier). Cutting
+inside a run of blanks or a word can change the tokens at the two ends, so a piece within
+``MARGIN`` tokens of the limit is tokenized by itself and gives up overlap tokens at its
+start if it turns out larger.
 
 Cases: null, empty and short texts have no pieces; a run without any boundary is cut at
 token ends; repeated rows give equal pieces; empty tables give empty tables; other columns
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import heapq
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from noticeloom.llm.tokens import VOCABULARY, token_ends, tokenizer
 from noticeloom.session import table
 
-LIMIT, OVERLAP = 2048, 128
+LIMIT, OVERLAP, MARGIN = 2048, 128, 16
 #: Boundaries after which a text pauses, the strongest first.
 PAUSES = [
     (5, re.compile(r"(?:\r\n|\r|\n)[ \t ]*(?:(?:\r\n|\r|\n)[ \t ]*)+")),
@@ -42,14 +42,18 @@ PAUSES = [
 ]
 
 
-def pauses(text: str) -> dict[int, int]:
+#: Pauses looked for everywhere; weaker ones only within segments that are too long.
+EVERYWHERE = 3
+
+
+def pauses(text: str, strengths: list[tuple[int, re.Pattern]], start: int, end: int) -> dict[int, int]:
     """Character offsets at which a new segment may begin, with the strength of the pause before it."""
     out: dict[int, int] = {}
-    for strength, pattern in PAUSES:
-        for m in pattern.finditer(text):
+    for strength, pattern in strengths:
+        for m in pattern.finditer(text, start, end):
             out.setdefault(m.end(), strength)
-    out.pop(len(text), None)
-    out.pop(0, None)
+    out.pop(end, None)
+    out.pop(start, None)
     return out
 
 
@@ -85,36 +89,48 @@ def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP, path: str
     if total <= limit:
         return [(0, len(text), total, 0)] if total else []
     raw = np.frombuffer(text.encode(), np.uint8)
-    starts = np.flatnonzero((raw & 0xC0) != 0x80)  # byte offset of each character
-    byte_of = np.append(starts, len(raw))
+    byte_of = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # byte offset of each character
+    token_start = np.concatenate(([0], ends))
     most = limit - overlap
-    marks: list[tuple[int, int]] = []  # (token index, strength): a segment begins with this token
-    strong: dict[int, int] = {}
-    for at, strength in pauses(text).items():
+
+    def char_at(k: int) -> int:
+        return int(np.searchsorted(byte_of, token_start[k], side="right")) - 1
+
+    def boundaries(level: int, a: int, b: int) -> list[tuple[int, int]]:
+        """``(token, strength)`` of the segments' starts between tokens a and b."""
+        found = pauses(text, [p for p in PAUSES if p[0] >= EVERYWHERE] if level >= EVERYWHERE else [p for p in PAUSES if p[0] == level], char_at(a), char_at(b))
+        at = np.fromiter(sorted(found), np.int64, len(found))
         # a blank belongs to the next word's token: cut before the token that holds the offset
-        k = int(np.searchsorted(ends, byte_of[at], side="right"))
-        if 0 < k < total:
-            strong[k] = max(strength, strong.get(k, 0))
-    last = 0
-    for k in [*sorted(strong), total]:
-        while k - last > most:  # no pause within a piece's length
-            last += most
-            marks.append((last, 0))
-        if k < total:
-            marks.append((k, strong[k]))
-        last = k
+        tokens = np.searchsorted(ends, byte_of[at], side="right") if len(at) else at
+        strong: dict[int, int] = {}
+        for k, offset in zip(tokens.tolist(), at.tolist()):
+            if a < k < b:
+                strong[k] = max(found[offset], strong.get(k, 0))
+        marks = sorted(strong.items())
+        out, last = [], a
+        for k, strength in [*marks, (b, -1)]:
+            if k - last > most:
+                if level > 1:
+                    out += boundaries(min(level, EVERYWHERE) - 1, last, k)
+                else:  # no pause within a piece's length
+                    out += [(x, 0) for x in range(last + most, k, most)]
+            if strength >= 0:
+                out.append((k, strength))
+            last = k
+        return out
+
+    marks = boundaries(EVERYWHERE, 0, total)
     bounds = [0, *(k for k, _ in marks), total]
     first = merged([b - a for a, b in zip(bounds, bounds[1:])], [s for _, s in marks], most)
     cuts = [bounds[i] for i in first] + [total]
-    token_start = np.concatenate(([0], ends))
-    char_at = lambda k: int(np.searchsorted(byte_of, token_start[k], side="right")) - 1
     enc = tokenizer(path)
     out = []
     for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
         shared = min(overlap, a) if n else 0
         while True:
-            start, end = char_at(a - shared), char_at(b)
-            own = len(enc.encode_ordinary(text[start:end]))
+            start, end, own = char_at(a - shared), char_at(b), b - a + shared
+            if own > limit - MARGIN:
+                own = len(enc.encode_ordinary(text[start:end]))
             if own <= limit or shared == 0:
                 break
             shared = max(0, shared - (own - limit))

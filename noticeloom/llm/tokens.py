@@ -28,10 +28,19 @@ def tokenizer(path: str = VOCABULARY) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def token_lengths(path: str = VOCABULARY) -> np.ndarray:
+    """Length in bytes of each token, by its number."""
+    enc = tokenizer(path)
+    out = np.zeros(enc.n_vocab, np.int64)
+    for token in enc.token_byte_values():
+        out[enc.encode_single_token(token)] = len(token)
+    return out
+
+
 def token_ends(text: str, path: str = VOCABULARY) -> np.ndarray:
     """Offset in UTF-8 bytes after each token of ``text``."""
-    enc = tokenizer(path)
-    return np.cumsum([len(b) for b in enc.decode_tokens_bytes(enc.encode_ordinary(text))], dtype=np.int64)
+    return np.cumsum(token_lengths(path)[tokenizer(path).encode_ordinary(text)])
 
 
 def token_counts(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
