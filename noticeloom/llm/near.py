@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,10 +30,11 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.llm.minwise import family
+from noticeloom.llm.titles import unmarked
 from noticeloom.session import BROADCAST_BYTES, table, written
 
 WIDTH, PARTITIONS = 5, 56
@@ -46,13 +46,12 @@ KEY_WORK = 40.0
 _CELLS = 512
 _BITS = 128
 
-_MARKS = re.compile("[" + "".join(re.escape(chr(i)) for i in range(sys.maxunicode) if unicodedata.combining(chr(i))) + "]+")
 _WORD = re.compile("[a-z0-9]+")
 
 
 def words_of(text: str) -> set[str]:
     """Runs of a-z and 0-9 after lower case and removal of diacritics (NFKD)."""
-    return set(_WORD.findall(_MARKS.sub("", unicodedata.normalize("NFKD", text.lower()))))
+    return set(_WORD.findall(unmarked(unicodedata.normalize("NFKD", text.lower()))))
 
 
 @lru_cache(maxsize=300_000)
@@ -69,7 +68,7 @@ def sketches(texts: DataFrame) -> DataFrame:
     """``id, text`` to ``id, low, high (hash of the set), symbols, s0, s1 (the first symbols' low bits)``."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a, b = family(SYMBOLS, 11)
+        a, b = (x.astype(np.uint32) for x in family(SYMBOLS, 11))
         for batch in batches:
             ids, low, high, symbols = [], [], [], []
             for i, text in zip(batch["id"], batch["text"]):
@@ -80,7 +79,7 @@ def sketches(texts: DataFrame) -> DataFrame:
                 ids.append(i)
                 low.append((whole & (2**64 - 1)) - 2**63)
                 high.append((whole >> 64) - 2**63)
-                symbols.append(((h[:, None] * a + b).min(axis=0) >> np.uint64(24)).astype(np.uint8))
+                symbols.append(((h.astype(np.uint32)[:, None] * a + b).min(axis=0) >> np.uint32(8)).astype(np.uint8))
             if ids:
                 m = np.stack(symbols)
                 bits = np.packbits(m[:, :_BITS] & 1, axis=1)

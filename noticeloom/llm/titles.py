@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from functools import lru_cache
 from urllib.parse import unquote
@@ -18,7 +17,7 @@ STOP_WORDS = "de do da dos das e em com para por a o as os ao aos no na nos nas
 TRACKING = ("utm_", "gclid", "fbclid", "mc_cid", "mc_eid", "msclkid", "origem", "ref_src")
 # ------------------------------------------------------------------------------------
 
-_MARKS = re.compile("[" + "".join(re.escape(chr(i)) for i in range(sys.maxunicode) if unicodedata.combining(chr(i))) + "]+")
+_MARKS = re.compile("[\u0300-\u036f]+")
 _STOP = frozenset(STOP_WORDS)
 _EMPTY = frozenset(KIND_WORDS) | frozenset(DECORATION_WORDS)
 _NUMBER_YEAR = re.compile(r"(?<!\d)(\d{1,4})\s*(?:/|-|\.|,|\bde\b|\s)\s*((?:19|20)\d\d)(?!\d)")
@@ -48,13 +47,22 @@ def repaired(text: str) -> str:
     return text
 
 
+def unmarked(text: str) -> str:
+    """Without combining characters."""
+    text = _MARKS.sub("", text)
+    if not text.isascii():  # the rare ones outside the usual block
+        for ch in {c for c in set(text) if unicodedata.combining(c)}:
+            text = text.replace(ch, "")
+    return text
+
+
 def plain(text: str | None) -> str:
     """Lower case without diacritics, broken encodings repaired."""
     if not text:
         return ""
     if text.isascii():
         return text.lower()
-    return _MARKS.sub("", unicodedata.normalize("NFKD", repaired(text)).lower())
+    return unmarked(unicodedata.normalize("NFKD", repaired(text)).lower())
 
 
 @lru_cache(maxsize=200_000)
