@@ -34,24 +34,26 @@ from noticeloom.session import BROADCAST_BYTES, shared_dir, table, written
 #: Listing pages that stand for no single call, as ``read_link`` writes them.
 LISTINGS = frozenset({"fapes.example/editais-abertos"})
 BANDS, ROWS = 10, 2
-BUCKETS = 32
+BUCKETS = 16
+#: Rounds of label passing between two looks at whether anything changed.
+ROUNDS = 2
 #: Content words that a title needs at least, for its subject to count as named.
 LEAST_WORDS = 2
 #: Share of the shorter title's words that must be met letter for letter before a closer look.
 WHOLE_WORDS = 0.35
 
-_READ = "id bigint, named bigint, words string, link string, name_keys array<bigint>"
+_READ = "id bigint, batch_no int, named bigint, words string, link string, name_keys array<bigint>"
 _KEYS, _NODES = "key bigint, node bigint, bucket int", "node bigint, call bigint, words string, link string, bucket int"
 
 
-def read_rows(df: DataFrame, id_col: str, title: str, link: str, issuers: Iterable[str], listings: frozenset[str] = LISTINGS) -> DataFrame:
-    """``id, named (number and year as one, or null), words, link, name_keys`` of each row."""
+def read_rows(df: DataFrame, id_col: str, title: str, link: str, batch: str, issuers: Iterable[str], listings: frozenset[str] = LISTINGS) -> DataFrame:
+    """``id, batch_no, named (number and year as one, or null), words, link, name_keys`` of each row."""
     known = tuple(sorted(issuers))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for rows in batches:
             out = []
-            for i, t, u in zip(batch["id"], batch["title"], batch["link"]):
+            for i, no, t, u in zip(rows["id"], rows["batch_no"], rows["title"], rows["link"]):
                 number, year, words = read_title(t, known)
                 named, keys = None, []
                 if number and year and len(words) >= LEAST_WORDS:
@@ -59,11 +61,11 @@ def read_rows(df: DataFrame, id_col: str, title: str, link: str, issuers: Iterab
                     salt = np.uint64(xxhash.xxh3_64_intdigest(str(named)))
                     features = np.fromiter({g for w in words for g in grams(w)}, np.uint64) ^ salt
                     keys = bands(signature(features, BANDS * ROWS), ROWS)
-                out.append((i, named, " ".join(words) if named else None, read_link(u, listings), keys))
-            yield pd.DataFrame(out, columns=["id", "named", "words", "link", "name_keys"]).astype({"named": "Int64"})
+                out.append((i, no, named, " ".join(words) if named else None, read_link(u, listings), keys))
+            yield pd.DataFrame(out, columns=["id", "batch_no", "named", "words", "link", "name_keys"]).astype({"named": "Int64"})
 
-    slim = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{title}`").alias("title"), F.col(f"`{link}`").alias("link"))
-    return slim.mapInPandas(read, _READ)
+    slim = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{title}`").alias("title"), F.col(f"`{link}`").alias("link"), F.col(f"`{batch}`").cast("int").alias("batch_no"))
+    return slim.where("id is not null and batch_no is not null").mapInPandas(read, _READ)
 
 
 @F.pandas_udf(BooleanType())
@@ -92,11 +94,11 @@ class HistoryIndex:
 
     def _stored(self, part: str, schema: str, wanted: DataFrame, col: str) -> DataFrame:
         """Rows of the index whose ``col`` is among ``wanted``, from the matching buckets only."""
-        wanted = written(wanted.select(F.col(wanted.columns[0]).alias(col)).distinct(), f"wanted-{part}")
-        hit = [r[0] for r in wanted.select(F.pmod(col, F.lit(self.buckets)).cast("int")).distinct().collect()]  # at most self.buckets
+        wanted = wanted.select(F.col(wanted.columns[0]).alias(col)).distinct()
+        size = wanted.agg(F.count("*").alias("n"), F.collect_set(F.pmod(col, F.lit(self.buckets)).cast("int")).alias("hit")).first()  # at most self.buckets numbers
         df = self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
-        df = df.where(F.col("bucket").isin(hit)) if len(hit) < self.buckets else df
-        return df.join(F.broadcast(wanted) if wanted.count() * 24 <= BROADCAST_BYTES else wanted, col, "left_semi")
+        df = df.where(F.col("bucket").isin(size["hit"])) if len(size["hit"]) < self.buckets else df
+        return df.join(F.broadcast(wanted) if size["n"] * 24 <= BROADCAST_BYTES else wanted, col, "left_semi")
 
     def _store(self, df: DataFrame, part: str, col: str) -> None:
         df = df.withColumn("bucket", F.pmod(col, F.lit(self.buckets)).cast("int")).repartition("bucket")
@@ -118,13 +120,17 @@ class HistoryIndex:
         hits = None
         if self.parts:
             hits = written(self._hits(nodes, keys), "batch-hits")
-            earliest = hits.groupBy("node").agg(F.min("call").alias("call"))
-            start = start.join(earliest, "node", "left").select("node", F.least("first", "call").alias("first"))
-        labels = components(written(start, "batch-start"), edges)
+            start = start.join(hits.groupBy("node").agg(F.min("call").alias("call")), "node", "left").select("node", F.least("first", "call").alias("first"))
+        labels = written(components(start, edges), "batch-labels")
         t, k = labels.select(F.col("node").alias("by_title"), F.col("label").alias("lt")), labels.select(F.col("node").alias("by_link"), F.col("label").alias("lk"))
         found = rows.select("id", "by_title", "by_link").join(t, "by_title", "left").join(k, "by_link", "left").groupBy("id").agg(F.min(F.least("id", "lt", "lk")).alias("call"))
-        self._append(nodes, keys, labels, hits)
-        return found
+        found.write.mode("append").parquet(f"{self.path}/found/part={self.parts}")
+        self._append(nodes, labels, hits)
+        return self.spark.read.schema("id bigint, call bigint").parquet(f"{self.path}/found/part={self.parts - 1}")
+
+    def found(self) -> DataFrame:
+        """``id, call`` of all batches so far."""
+        return self.spark.read.schema("id bigint, call bigint, part int").parquet(f"{self.path}/found").drop("part")
 
     def _hits(self, nodes: DataFrame, keys: DataFrame) -> DataFrame:
         """Verified hits of the batch in the index: ``node, known (the index's node), call``."""
@@ -138,13 +144,14 @@ class HistoryIndex:
             hits = hits.join(self.aliases, hits["call"] == self.aliases["old"], "left").select("node", "known", F.coalesce("root", "call").alias("call"))
         return hits
 
-    def _append(self, nodes: DataFrame, keys: DataFrame, labels: DataFrame, hits: DataFrame | None) -> None:
+    def _append(self, nodes: DataFrame, labels: DataFrame, hits: DataFrame | None) -> None:
         """Takes in the batch's nodes that the index lacks, and notes calls that turned out to be one."""
         new = nodes.join(labels, "node").select("node", F.col("label").alias("call"), "words", "link", "name_keys")
         if hits is not None:
             new = new.join(hits.where("node = known").select("node").distinct(), "node", "left_anti")
-            one = written(hits.select("node", "call").join(labels, "node").where("call <> label").groupBy(F.col("call").alias("old")).agg(F.min("label").alias("root")), "aliases")
+            one = hits.select("node", "call").join(labels, "node").where("call <> label").groupBy(F.col("call").alias("old")).agg(F.min("label").alias("root"))
             if not one.isEmpty():
+                one = written(one, "aliases")
                 older = self.aliases
                 if older is not None:
                     older = older.alias("x").join(one.alias("y"), F.col("x.root") == F.col("y.old"), "left").select("x.old", F.coalesce("y.root", "x.root").alias("root"))
@@ -161,16 +168,19 @@ def components(start: DataFrame, edges: DataFrame, most: int = 40) -> DataFrame:
     label on to the neighbours and then jumps to the label of the node that had it first;
     only nodes with an edge take part. Ends when a round changes nothing.
     """
-    both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = start.withColumnRenamed("first", "label").join(both.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
     for _ in range(most):
-        near = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("seen"))
-        new = labels.join(near, "node").select("node", F.least("label", "seen").alias("new"), "label")
-        # whoever shares a label shares its improvement
-        jump = new.groupBy("label").agg(F.min("new").alias("jump"))
-        new = written(new.join(jump, "label").select("node", F.least("new", "jump").alias("new"), "label"), "labels")
-        labels = new.select("node", F.col("new").alias("label"))
-        if new.where("new <> label").isEmpty():
+        for _ in range(ROUNDS):
+            near = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("seen"))
+            new = labels.join(near, "node").select("node", F.least("label", "seen").alias("new"), "label")
+            # whoever shares a label shares its improvement
+            jump = new.groupBy("label").agg(F.min("new").alias("jump"))
+            last = new.join(jump, "label").select("node", F.least("new", "jump").alias("new"), "label")
+            labels = last.select("node", F.col("new").alias("label"))
+        last = written(last, "labels")
+        labels = last.select("node", F.col("new").alias("label"))
+        if last.where("new <> label").isEmpty():
             break
     return start.join(labels, "node", "left").select("node", F.coalesce("label", "first").alias("label"))
 
@@ -178,16 +188,14 @@ def components(start: DataFrame, edges: DataFrame, most: int = 40) -> DataFrame:
 def repeats(edital: DataFrame, issuers: Iterable[str], path: str | None = None) -> DataFrame:
     """``edital_id_a, edital_id_b``: every repeat with the first row of its call, batch by batch."""
     spark = edital.sparkSession
-    rows = read_rows(edital, "edital_id", "nome", "link", issuers)
-    batch = edital.select(F.col("edital_id").cast("bigint").alias("id"), "batch_no").dropDuplicates(["id"])
-    staged = written(rows.dropDuplicates(["id"]).join(batch, "id"), "history-rows", ["batch_no"])
-    index, found = HistoryIndex(spark, path), None
-    for (no,) in sorted(edital.select("batch_no").distinct().collect()):  # one row a batch
-        part = index.seen(staged.where(F.col("batch_no") == no))
-        found = part if found is None else found.unionByName(part)
-    if found is None:
+    rows = read_rows(edital, "edital_id", "nome", "link", "batch_no", issuers)
+    staged = written(rows, "history-rows", ["batch_no"])
+    index = HistoryIndex(spark, path)
+    for (no,) in sorted(staged.select("batch_no").distinct().collect()):  # one row a batch
+        index.seen(staged.where(F.col("batch_no") == no))
+    if not index.parts:
         return spark.createDataFrame([], "edital_id_a bigint, edital_id_b bigint")
-    return found.where("id <> call").select(F.col("call").alias("edital_id_a"), F.col("id").alias("edital_id_b"))
+    return index.found().where("id <> call").select(F.col("call").alias("edital_id_a"), F.col("id").alias("edital_id_b"))
 
 
 def issuer_words(fonte: DataFrame) -> list[str]:
