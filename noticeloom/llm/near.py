@@ -61,7 +61,14 @@ def _hash(word: str) -> int:
 
 def _hashes(text: str) -> np.ndarray:
     found = words_of(text)
-    return np.sort(np.fromiter((_hash(w) for w in found), np.uint64, len(found)))
+    return np.fromiter(map(_hash, found), np.uint64, len(found))
+
+
+def _set_hash(h: np.ndarray) -> tuple[int, int]:
+    """Two signed 64-bit hashes of a set of word hashes, in whatever order they come."""
+    mixed = h * np.uint64(0x9E3779B97F4A7C15)
+    both = np.array([h.sum(), (mixed ^ (mixed >> np.uint64(29))).sum()], np.uint64).view(np.int64)
+    return int(both[0]), int(both[1])
 
 
 def sketches(texts: DataFrame) -> DataFrame:
@@ -75,10 +82,10 @@ def sketches(texts: DataFrame) -> DataFrame:
                 h = _hashes(text)
                 if not len(h):
                     continue
-                whole = xxhash.xxh3_128_intdigest(h.tobytes())
+                one, two = _set_hash(h)
                 ids.append(i)
-                low.append((whole & (2**64 - 1)) - 2**63)
-                high.append((whole >> 64) - 2**63)
+                low.append(one)
+                high.append(two)
                 symbols.append(((h.astype(np.uint32)[:, None] * a + b).min(axis=0) >> np.uint32(8)).astype(np.uint8))
             if ids:
                 m = np.stack(symbols)
@@ -109,6 +116,27 @@ def _mixed(m: np.ndarray, which: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _alone(rows: DataFrame) -> np.ndarray:
+    """Number of pairs of all rows that agree in each single symbol, from its value counts."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((SYMBOLS, 256), np.int64)
+        for batch in batches:
+            if len(batch):
+                m = np.frombuffer(b"".join(batch["symbols"]), np.uint8).reshape(-1, SYMBOLS)
+                for c in range(SYMBOLS):
+                    total[c] += np.bincount(m[:, c], minlength=256)
+        if total.any():
+            c, cell = np.indices(total.shape)
+            yield pd.DataFrame({"c": c.ravel(), "cell": cell.ravel(), "n": total.ravel()})
+
+    sums = rows.select("symbols").mapInPandas(count, "c int, cell int, n bigint").groupBy("c", "cell").agg(F.sum("n").cast("double").alias("n"))
+    pairs = np.zeros(SYMBOLS)
+    for r in sums.groupBy("c").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).collect():  # one row for each symbol
+        pairs[r["c"]] = r["pairs"]
+    return pairs
+
+
 def _moments(rows: DataFrame, columns: list[np.ndarray]) -> np.ndarray:
     """Estimated number of pairs of all rows that agree in each of ``columns`` (sets of symbols).
 
@@ -172,8 +200,7 @@ def allocate(cost: np.ndarray, gain: np.ndarray, need: float, steps: int = 400)
 
 def plan(classes: DataFrame, similarity: float) -> list[np.ndarray]:
     """The symbol sets to probe with, from counts over all classes."""
-    alone = _moments(classes, [np.array([i]) for i in range(SYMBOLS)])
-    columns = _columns(np.argsort(alone, kind="stable"))
+    columns = _columns(np.argsort(_alone(classes), kind="stable"))
     pairs = _moments(classes, [which for _, which in columns]).reshape(PARTITIONS, WIDTH + 1)
     n = classes.count()
     agree = similarity + (1 - similarity) / 256
