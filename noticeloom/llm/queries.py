@@ -28,4 +28,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_found": p9_found,
     "p9_pieces": p9_pieces,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    # every pair of rows with a common word, counted
+    "p3_found": """with t as (select edital_id, list_distinct(regexp_extract_all(strip_accents(translate(lower(coalesce(nome, '') || ' ' || "descrição"), 'ºª²³¹ ', 'oa231 ')), '[a-z0-9]+')) as w from edital where trim("descrição") <> ''),
+  u as (select edital_id, len(w) as n, unnest(w) as word from t),
+  p as (select a.edital_id as x, b.edital_id as y, count(*) as k, any_value(a.n) as na, any_value(b.n) as nb from u a join u b on a.word = b.word and a.edital_id < b.edital_id group by 1, 2)
+  select x as edital_id_a, y as edital_id_b from p where k >= 0.7 * (na + nb - k)""",
+}
