@@ -35,8 +35,6 @@ from noticeloom.session import BROADCAST_BYTES, shared_dir, table, written
 LISTINGS = frozenset({"fapes.example/editais-abertos"})
 BANDS, ROWS = 10, 2
 BUCKETS = 16
-#: Rounds of label passing between two looks at whether anything changed.
-ROUNDS = 2
 #: Content words that a title needs at least, for its subject to count as named.
 LEAST_WORDS = 2
 #: Share of the shorter title's words that must be met letter for letter before a closer look.
@@ -161,28 +159,28 @@ class HistoryIndex:
         self.parts += 1
 
 
-def components(start: DataFrame, edges: DataFrame, most: int = 40) -> DataFrame:
+def components(start: DataFrame, edges: DataFrame) -> DataFrame:
     """``node, label``: the least ``first`` in each node's connected component.
 
     ``start`` holds ``node, first``, ``edges`` pairs of nodes. Each round passes the least
-    label on to the neighbours and then jumps to the label of the node that had it first;
-    only nodes with an edge take part. Ends when a round changes nothing.
+    label on to the neighbours; every third round, whoever shares a label also shares its
+    improvement, so long chains shorten by jumps. Only nodes with an edge take part. Ends
+    when a round changes nothing.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = start.withColumnRenamed("first", "label").join(both.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
-    for _ in range(most):
-        for _ in range(ROUNDS):
-            near = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("seen"))
-            new = labels.join(near, "node").select("node", F.least("label", "seen").alias("new"), "label")
-            # whoever shares a label shares its improvement
-            jump = new.groupBy("label").agg(F.min("new").alias("jump"))
-            last = new.join(jump, "label").select("node", F.least("new", "jump").alias("new"), "label")
-            labels = last.select("node", F.col("new").alias("label"))
-        last = written(last, "labels")
-        labels = last.select("node", F.col("new").alias("label"))
-        if last.where("new <> label").isEmpty():
-            break
-    return start.join(labels, "node", "left").select("node", F.coalesce("label", "first").alias("label"))
+    labels = written(start.withColumnRenamed("first", "label").join(both.select(F.col("a").alias("node")).distinct(), "node", "left_semi"), "labels")
+    turn = 0
+    while True:
+        turn += 1
+        passed = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), F.col("label").alias("seen"), F.lit(None).cast("bigint").alias("old"))
+        new = labels.select("node", F.col("label").alias("seen"), F.col("label").alias("old")).unionByName(passed).groupBy("node").agg(F.min("seen").alias("label"), F.min("old").alias("old"))
+        new = written(new, "labels")
+        if turn % 3 == 0:
+            jump = new.groupBy("old").agg(F.min("label").alias("jump"))
+            new = written(new.join(jump, "old").select("node", F.least("label", "jump").alias("label"), "old"), "labels")
+        labels = new.select("node", "label")
+        if new.where("label <> old").isEmpty():
+            return start.join(labels, "node", "left").select("node", F.coalesce("label", "first").alias("label"))
 
 
 def repeats(edital: DataFrame, issuers: Iterable[str], path: str | None = None) -> DataFrame:
