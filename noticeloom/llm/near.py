@@ -86,7 +86,9 @@ def sketches(texts: DataFrame) -> DataFrame:
                 ids.append(i)
                 low.append(one)
                 high.append(two)
-                symbols.append(((h.astype(np.uint32)[:, None] * a + b).min(axis=0) >> np.uint32(8)).astype(np.uint8))
+                x = h.astype(np.uint32)[:, None] * a
+                x += b
+                symbols.append((x.min(axis=0) >> np.uint32(8)).astype(np.uint8))
             if ids:
                 m = np.stack(symbols)
                 bits = np.packbits(m[:, :_BITS] & 1, axis=1)
@@ -274,7 +276,9 @@ def verified(texts: DataFrame, candidates: DataFrame, similarity: float) -> Data
         out = []
         for p, q in zip(x, y):
             p, q = np.frombuffer(p, np.uint32), np.frombuffer(q, np.uint32)
-            both = len(np.intersect1d(p, q, assume_unique=True))
+            merged = np.concatenate((p, q))
+            merged.sort()
+            both = int(np.count_nonzero(merged[1:] == merged[:-1]))
             out.append(both / (len(p) + len(q) - both))
         return pd.Series(out, dtype=float)
 
