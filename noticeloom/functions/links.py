@@ -26,7 +26,7 @@ def absolute(href: Column, base: Column, listing: Column | None = None) -> Colum
     """
     h = stripped(F.replace(href, F.lit("\t"), F.lit("")))
     root = F.regexp_extract(base, r"^([a-z]+://[^/?#]+)", 1)
-    plain = h.rlike(r"^/?[^/?#:.][^?#:]*$") & ~h.contains("./") & ~h.contains("//")
+    plain = h.rlike(r"^/?[^/?#:.][^?#:]*$") & ~h.contains("./") & ~h.contains("//") & ~h.rlike(r"/\.\.?$")
     whole_host = base.rlike(r"^[a-z]+://[^/?#]+/?$")
     return (
         F.when(F.coalesce(h, F.lit("")) == "", listing if listing is not None else base)

@@ -187,6 +187,14 @@ def resolved_links(spark, d):
     return t.select("edital_id", links.absolute(href, F.lit("https://portal.example/"), F.lit("https://portal.example/lista")).alias("url"))
 
 
+@query(None)
+def resolved_links_all(spark, d):
+    # every link, those with queries, fragments, ports and dotted paths too; resolved_links is the part its SQL states
+    t = table(spark, d, "edital").where("link is not null")
+    href = F.regexp_replace("link", r"^[a-z]+://[^/]+/", "")
+    return t.select("edital_id", links.absolute(href, F.lit("https://portal.example/"), F.lit("https://portal.example/lista")).alias("url"))
+
+
 @query("""with t as (select link, edital_id, nome, row_number() over (partition by link order by edital_id) as a, row_number() over (partition by link order by edital_id desc) as b from edital where link is not null)
   select f.link, f.edital_id as first_id, f.nome as first_title, l.nome as last_title from t f join t l on f.link = l.link where f.a = 1 and l.b = 1""")
 def link_first_and_last_wins(spark, d):
