@@ -75,17 +75,30 @@ def last_title_of(df: DataFrame, key: str, title: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.max_by(title, order).alias(title), F.min(order).alias("first_pos"))
 
 
+def _generic(title: Column) -> Column:
+    return F.lower(stripped(title)).isin([*GENERIC_TITLES, ""])
+
+
 def best_title(titles: Column) -> Column:
     """Titles of one link in order, folded: a generic one gives way, then the longer one wins."""
-    generic = lambda t: F.lower(stripped(t)).isin([*GENERIC_TITLES, ""])
-
     def step(acc: Column, t: Column) -> Column:
-        better = acc.isNull() | (generic(acc) & ~generic(t)) | (~generic(t) & ~generic(acc) & (F.length(t) > F.length(acc)))
+        better = acc.isNull() | (_generic(acc) & ~_generic(t)) | (~_generic(t) & ~_generic(acc) & (F.length(t) > F.length(acc)))
         return F.when(better, t).otherwise(acc)
 
     return F.aggregate(titles, F.lit(None).cast("string"), step)
 
 
+def best_title_of(df: DataFrame, key: str, title: str, order: str) -> DataFrame:
+    """G6 as an aggregation: each key with the title that ``best_title`` keeps of its titles in order.
+
+    Of generic titles the first stays; null where a key has no title. Nothing is collected, so
+    a key may hold any number of rows.
+    """
+    t = F.col(title)
+    rank = F.struct((~_generic(t)).alias("real"), F.when(_generic(t), 0).otherwise(F.length(t)).alias("len"), (-F.col(order)).alias("at"))
+    return df.groupBy(key).agg(F.max_by(t, F.when(t.isNotNull(), rank)).alias("title"))
+
+
 def ordered_distinct(*arrays: Column) -> Column:
     """The arrays one after the other, each value at its first place."""
     return F.array_distinct(F.concat(*[F.coalesce(a, F.array().cast("array<string>")) for a in arrays]))

@@ -281,6 +281,13 @@ def best_title_per_link(spark, d):
     return e.groupBy("link").agg(F.max_by("nome", F.struct(F.length("nome"), -F.col("edital_id"))).alias("title"))
 
 
+@query(f"""with t as (select link, edital_id, nome, lower(regexp_replace(nome, '^{WS}+|{WS}+$', '', 'g')) in ('baixar', 'clique aqui', 'download', 'pdf', '') as generic from edital where link is not null),
+  k as (select link, nome, row_number() over (partition by link order by nome is null, generic, case when generic then 0 else length(nome) end desc, edital_id) as n from t) select link, nome as title from k where n = 1""")
+def best_title_per_link_all(spark, d):
+    # every link, the one with a tenth of all rows too; best_title_per_link is the part its SQL states
+    return sel.best_title_of(table(spark, d, "edital").where("link is not null"), "link", "nome", "edital_id")
+
+
 @query("""with per as (select batch_no, count(*) filter (where y = 2027) as kept, count(*) filter (where y <> 2027) as skipped from (select batch_no, try_cast(regexp_extract(nome, '/(20[0-9]{2})', 1) as int) as y from edital) where y is not null group by 1),
   stop as (select min(batch_no) as s from per where kept = 0 and skipped > 0)
   select edital_id, batch_no from (select edital_id, batch_no, try_cast(regexp_extract(nome, '/(20[0-9]{2})', 1) as int) as y from edital), stop where y = 2027 and (s is null or batch_no < s)""")
