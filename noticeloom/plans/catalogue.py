@@ -163,6 +163,13 @@ def deadline_years(spark, d):
     return e.select("edital_id", dates.deadline_year(F.concat(F.lit("Prazo para envio de propostas até: "), F.trim("data_encerramento"))).alias("year"))
 
 
+@query(None)
+def deadline_years_all(spark, d):
+    # every value; deadline_years is the part its SQL states
+    e = table(spark, d, "edital").where("data_encerramento is not null")
+    return e.select("edital_id", dates.deadline_year(F.concat(F.lit("Prazo para envio de propostas até: "), text.stripped(F.col("data_encerramento")))).alias("year"))
+
+
 @query(None)
 def local_run_stamps(spark, d):
     return table(spark, d, "edital").select("edital_id", dates.local_stamp(F.col("ingested_at")).alias("stamp"))
@@ -372,6 +379,26 @@ def closing_dates(spark, d):
     return e.select("edital_id", sched.closing_date(raw, sched.normalized(F.col("cronograma"))).alias("closing"))
 
 
+def _schedules(spark: SparkSession, d: str) -> DataFrame:
+    """``tabela, row_id, fetched_at, s``: the schedules of both tables, relative dates too; an empty one for none."""
+    e = table(spark, d, "edital").select(F.lit("edital").alias("tabela"), F.col("edital_id").alias("row_id"), F.col("cronograma").alias("s"))
+    r = table(spark, d, "raw_edital").select(F.lit("raw_edital").alias("tabela"), F.col("raw_id").alias("row_id"), "fetched_at", F.col("raw_cronograma").alias("s"))
+    both = e.unionByName(r, allowMissingColumns=True)
+    return both.withColumn("s", F.coalesce("s", F.array().cast("array<struct<evento:string,data:string>>"))).select("tabela", "row_id", "fetched_at", "s")
+
+
+@query(None)
+def opening_dates_all(spark, d):
+    # opening_dates is the part its SQL states
+    return _schedules(spark, d).select("tabela", "row_id", "fetched_at", sched.opening_date(sched.normalized(F.col("s"))).alias("opening"))
+
+
+@query(None)
+def closing_dates_all(spark, d):
+    # closing_dates is the part its SQL states
+    return _schedules(spark, d).select("tabela", "row_id", "fetched_at", sched.closing_date(F.col("s"), sched.normalized(F.col("s"))).alias("closing"))
+
+
 @query("""select raw_id, fetched_at, (coalesce(len(raw_anexos), 0) + coalesce(len(attachments), 0))::int as n, coalesce(raw_anexos[1].link, attachments[1].url) as first_link, coalesce(attachments[-1].url, raw_anexos[-1].link) as last_link from raw_edital""")
 def attachments_merged(spark, d):
     raw = table(spark, d, "raw_edital").select("raw_id", "fetched_at", sel.merged_attachments(F.col("raw_anexos"), F.col("attachments")).alias("a"))
