@@ -37,8 +37,6 @@ BANDS, ROWS = 10, 2
 BUCKETS = 16
 #: Content words that a title needs at least, for its subject to count as named.
 LEAST_WORDS = 2
-#: Share of the shorter title's words that must be met letter for letter before a closer look.
-WHOLE_WORDS = 0.35
 
 _READ = "id bigint, batch_no int, named bigint, words string, link string, name_keys array<bigint>"
 _KEYS, _NODES = "key bigint, node bigint, bucket int", "node bigint, call bigint, words string, link string, bucket int"
@@ -72,13 +70,8 @@ def _same_subject(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def verified(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Pairs of titles (content words in columns ``a`` and ``b``) that name the same subject.
-
-    Most chance hits share few whole words and are dropped before the letter-wise comparison.
-    """
-    x, y = F.split(a, " "), F.split(b, " ")
-    common = F.size(F.array_intersect(x, y)) >= WHOLE_WORDS * F.least(F.size(x), F.size(y))
-    return pairs.where(common).where(_same_subject(a, b))
+    """Pairs of titles (content words in columns ``a`` and ``b``) that name the same subject."""
+    return pairs.where(_same_subject(a, b))
 
 
 class HistoryIndex:
