@@ -43,6 +43,16 @@ def written(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows read from storage in at least as many partitions as there are cores.
+
+    For work that is heavy per row: a table of few bytes comes in fewer partitions than the
+    cluster has cores. Larger scans are left as they are, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan (an over-estimate for joins)."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
