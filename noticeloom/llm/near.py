@@ -7,8 +7,9 @@ most t of its symbols: t = 0 the whole partition, t = 1 each way to leave out on
 t = -1 not at all. The thresholds are allocated by dynamic programming over all partitions:
 least estimated work (keys plus candidate pairs, the latter estimated from second-moment
 sketches over all records) under a bound on the chance that a pair at exactly the wanted
-similarity is missed in every partition. Candidates pass a 128-bit sketch comparison inside
-the join and are then verified on the true word sets.
+similarity is missed. Candidates pass a 64-bit sketch comparison inside the join, whose
+own chance to lose such a pair is part of the bound, and are then verified on the true
+word sets.
 
 The classical bound (thresholds that sum to the distance guarantee a hit) needs as many
 partitions as words may differ, here 34 of some 3 words each, which nearly every pair
@@ -35,32 +36,59 @@ from pyspark.sql import functions as F
 
 from noticeloom.llm.minwise import family
 from noticeloom.llm.titles import unmarked
-from noticeloom.session import BROADCAST_BYTES, table, written
+from noticeloom.session import BROADCAST_BYTES, spread, table, written
 
 WIDTH, PARTITIONS = 5, 56
 SYMBOLS = WIDTH * PARTITIONS
-#: Chance that a pair at exactly the wanted similarity is missed.
-MISS = 0.002
+#: Chance that a pair at exactly the wanted similarity is missed, and the part of it that the sketch may take.
+MISS, MISS_SKETCH = 0.002, 0.0002
 #: Work of one key against one candidate pair.
 KEY_WORK = 40.0
 _CELLS = 512
-_BITS = 128
+_BITS = 64
 
 _WORD = re.compile("[a-z0-9]+")
+_ASCII = bytes(range(128))
+_APART = bytes(c if chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 for c in range(256))
+#: Bytes of combining characters (U+0300 to U+036F) and second and later bytes of all others.
+_DROPPED = bytes([0xCC, 0xCD, *range(0x80, 0xC0)])
 
 
 def words_of(text: str) -> set[str]:
     """Runs of a-z and 0-9 after lower case and removal of diacritics (NFKD)."""
-    return set(_WORD.findall(unmarked(unicodedata.normalize("NFKD", text.lower()))))
+    return {w.decode() for w in _words(text)}
 
 
-@lru_cache(maxsize=300_000)
-def _hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+@lru_cache(maxsize=100_000)
+def _usual(ch: str) -> bool:
+    """Whether a character outside ASCII is a mark of the usual block, or neither a mark nor written in its bytes."""
+    return "\u0300" <= ch <= "\u036f" or not unicodedata.combining(ch) and not "\u0370" <= ch <= "\u037f"
+
+
+def _words(text: str) -> set[bytes]:
+    # one pass over the bytes: marks vanish, all else but a-z and 0-9 separates
+    text = unicodedata.normalize("NFKD", text.lower())
+    raw = text.encode("utf-8", "replace")
+    if text.isascii() or all(map(_usual, set(raw.translate(None, _ASCII).decode()))):
+        return set(raw.translate(_APART, _DROPPED).split())
+    return {w.encode() for w in _WORD.findall(unmarked(text))}
+
+
+class _Hashes(dict):
+    """Hashes of the words met; forgotten when there are too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 300_000:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_hash = _Hashes().__getitem__
 
 
 def _hashes(text: str) -> np.ndarray:
-    found = words_of(text)
+    found = _words(text)
     return np.fromiter(map(_hash, found), np.uint64, len(found))
 
 
@@ -72,7 +100,7 @@ def _set_hash(h: np.ndarray) -> tuple[int, int]:
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """``id, text`` to ``id, low, high (hash of the set), symbols, s0, s1 (the first symbols' low bits)``."""
+    """``id, text`` to ``id, low, high (hash of the set), symbols, s0 (the first symbols' low bits)``."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = (x.astype(np.uint32) for x in family(SYMBOLS, 11))
@@ -93,9 +121,9 @@ def sketches(texts: DataFrame) -> DataFrame:
                 m = np.stack(symbols)
                 bits = np.packbits(m[:, :_BITS] & 1, axis=1)
                 s = np.ascontiguousarray(bits).view(np.int64)
-                yield pd.DataFrame({"id": ids, "low": low, "high": high, "symbols": [r.tobytes() for r in m], "s0": s[:, 0], "s1": s[:, 1]})
+                yield pd.DataFrame({"id": ids, "low": low, "high": high, "symbols": [r.tobytes() for r in m], "s0": s[:, 0]})
 
-    return texts.mapInPandas(sketch, "id bigint, low bigint, high bigint, symbols binary, s0 bigint, s1 bigint")
+    return texts.mapInPandas(sketch, "id bigint, low bigint, high bigint, symbols binary, s0 bigint")
 
 
 def _columns(order: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -209,7 +237,7 @@ def plan(classes: DataFrame, similarity: float) -> list[np.ndarray]:
     hit0 = agree**WIDTH
     hit1 = hit0 + WIDTH * agree ** (WIDTH - 1) * (1 - agree)
     cost = np.stack([np.zeros(PARTITIONS), pairs[:, 0] + KEY_WORK * n, pairs[:, 1:].sum(axis=1) + KEY_WORK * n * WIDTH], axis=1)
-    options = allocate(cost, np.array([0.0, -math.log1p(-hit0), -math.log1p(-hit1)]), -math.log(MISS))
+    options = allocate(cost, np.array([0.0, -math.log1p(-hit0), -math.log1p(-hit1)]), -math.log(MISS - MISS_SKETCH))
     chosen = []
     for p, o in enumerate(options):
         own = [which for q, which in columns if q == p]
@@ -218,7 +246,7 @@ def plan(classes: DataFrame, similarity: float) -> list[np.ndarray]:
 
 
 def _probes(classes: DataFrame, chosen: list[np.ndarray]) -> DataFrame:
-    """``key, id, s0, s1`` for each probe of each class."""
+    """``key, id, s0`` for each probe of each class."""
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -227,15 +255,19 @@ def _probes(classes: DataFrame, chosen: list[np.ndarray]) -> DataFrame:
             m = np.frombuffer(b"".join(batch["symbols"]), np.uint8).reshape(-1, SYMBOLS)
             keys = np.stack([_mixed(m, which, 10_000 + c) for c, which in enumerate(chosen)], axis=1).view(np.int64)
             k = len(chosen)
-            yield pd.DataFrame({"key": keys.ravel(), "id": np.repeat(batch["id"].to_numpy(), k), "s0": np.repeat(batch["s0"].to_numpy(), k), "s1": np.repeat(batch["s1"].to_numpy(), k)})
+            yield pd.DataFrame({"key": keys.ravel(), "id": np.repeat(batch["id"].to_numpy(), k), "s0": np.repeat(batch["s0"].to_numpy(), k)})
 
-    return classes.select("id", "symbols", "s0", "s1").mapInPandas(probe, "key bigint, id bigint, s0 bigint, s1 bigint")
+    return classes.select("id", "symbols", "s0").mapInPandas(probe, "key bigint, id bigint, s0 bigint")
 
 
 def _far(similarity: float) -> int:
-    """Sketch bits that may differ: mean and four standard deviations at the wanted similarity."""
-    p = (1 - similarity) / 2
-    return math.ceil(_BITS * p + 4 * math.sqrt(_BITS * p * (1 - p)))
+    """Sketch bits that may differ, so that a pair at the wanted similarity is lost with a chance of at most ``MISS_SKETCH``."""
+    p = (1 - similarity) * (1 - 1 / 256) / 2
+    t, kept = -1, 0.0
+    while kept < 1 - MISS_SKETCH and t < _BITS:
+        t += 1
+        kept += math.comb(_BITS, t) * p**t * (1 - p) ** (_BITS - t)
+    return t
 
 
 def near_classes(texts: DataFrame, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -244,17 +276,17 @@ def near_classes(texts: DataFrame, similarity: float = 0.8) -> tuple[DataFrame,
     a < b; a class's representative is the least id with its word set.
     """
     texts = texts.where("text is not null").dropDuplicates(["id"]) if not _unique(texts) else texts.where("text is not null")
-    rows = written(sketches(texts), "near-symbols")
+    rows = written(sketches(spread(texts)), "near-symbols")
     first = rows.groupBy("low", "high").agg(F.min("id").alias("cls"))
     members = rows.select("id", "low", "high").join(first, ["low", "high"]).select("id", "cls")
     copies = written(members.where("id <> cls"), "near-copies")
     gone = copies.select("id")
     classes = rows.join(F.broadcast(gone) if copies.count() * 24 <= BROADCAST_BYTES else gone, "id", "left_anti")
     chosen = plan(classes, similarity)
-    probes = _probes(classes, chosen).repartition("key")
-    a = probes.select("key", F.col("id").alias("a"), F.col("s0").alias("p0"), F.col("s1").alias("p1"))
-    b = probes.select("key", F.col("id").alias("b"), F.col("s0").alias("q0"), F.col("s1").alias("q1"))
-    far = F.bit_count(F.col("p0").bitwiseXOR(F.col("q0"))) + F.bit_count(F.col("p1").bitwiseXOR(F.col("q1")))
+    probes = _probes(classes, chosen)
+    a = probes.select("key", F.col("id").alias("a"), F.col("s0").alias("p0"))
+    b = probes.select("key", F.col("id").alias("b"), F.col("s0").alias("q0"))
+    far = F.bit_count(F.col("p0").bitwiseXOR(F.col("q0")))
     candidates = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (far <= _far(similarity))).select("a", "b")
     candidates = written(candidates.distinct(), "near-candidates")
     return verified(texts, candidates, similarity), rows.select("id").join(copies, "id", "left").select("id", F.coalesce("cls", "id").alias("cls"))
@@ -283,7 +315,7 @@ def verified(texts: DataFrame, candidates: DataFrame, similarity: float) -> Data
         return pd.Series(out, dtype=float)
 
     wanted = written(candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
-    found = texts.join(F.broadcast(wanted) if wanted.count() * 24 <= BROADCAST_BYTES else wanted, "id", "left_semi").mapInPandas(sets, "id bigint, words binary")
+    found = spread(texts).join(F.broadcast(wanted) if wanted.count() * 24 <= BROADCAST_BYTES else wanted, "id", "left_semi").mapInPandas(sets, "id bigint, words binary")
     x, y = found.withColumnsRenamed({"id": "a", "words": "wa"}), found.withColumnsRenamed({"id": "b", "words": "wb"})
     pairs = candidates.join(x, "a").join(y, "b").withColumn("similarity", jaccard("wa", "wb"))
     return pairs.where(F.col("similarity") >= similarity).select("a", "b", "similarity")
