@@ -7,7 +7,7 @@ most t of its symbols: t = 0 the whole partition, t = 1 each way to leave out on
 t = -1 not at all. The thresholds are allocated by dynamic programming over all partitions:
 least estimated work (keys plus candidate pairs, the latter estimated from second-moment
 sketches over all records) under a bound on the chance that a pair at exactly the wanted
-similarity is missed. Candidates pass a 64-bit sketch comparison inside the join, whose
+similarity is missed. Candidates pass a 128-bit sketch comparison inside the join, whose
 own chance to lose such a pair is part of the bound, and are then verified on the true
 word sets.
 
@@ -25,12 +25,11 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,14 +37,14 @@ from noticeloom.llm.minwise import family
 from noticeloom.llm.titles import unmarked
 from noticeloom.session import BROADCAST_BYTES, spread, table, written
 
-WIDTH, PARTITIONS = 5, 56
+WIDTH, PARTITIONS = 5, 40
 SYMBOLS = WIDTH * PARTITIONS
 #: Chance that a pair at exactly the wanted similarity is missed, and the part of it that the sketch may take.
 MISS, MISS_SKETCH = 0.002, 0.0002
 #: Work of one key against one candidate pair.
 KEY_WORK = 40.0
 _CELLS = 512
-_BITS = 64
+_BITS = 128
 
 _WORD = re.compile("[a-z0-9]+")
 _ASCII = bytes(range(128))
@@ -56,7 +55,7 @@ _DROPPED = bytes([0xCC, 0xCD, *range(0x80, 0xC0)])
 
 def words_of(text: str) -> set[str]:
     """Runs of a-z and 0-9 after lower case and removal of diacritics (NFKD)."""
-    return {w.decode() for w in _words(text)}
+    return {w.decode() for w in _prepared(text).split()}
 
 
 @lru_cache(maxsize=100_000)
@@ -65,49 +64,85 @@ def _usual(ch: str) -> bool:
     return "\u0300" <= ch <= "\u036f" or not unicodedata.combining(ch) and not "\u0370" <= ch <= "\u037f"
 
 
-def _words(text: str) -> set[bytes]:
-    # one pass over the bytes: marks vanish, all else but a-z and 0-9 separates
+def _prepared(text: str) -> bytes:
+    """The words with blanks between: marks vanish, all else but a-z and 0-9 separates."""
     text = unicodedata.normalize("NFKD", text.lower())
     raw = text.encode("utf-8", "replace")
     if text.isascii() or all(map(_usual, set(raw.translate(None, _ASCII).decode()))):
-        return set(raw.translate(_APART, _DROPPED).split())
-    return {w.encode() for w in _WORD.findall(unmarked(text))}
+        return raw.translate(_APART, _DROPPED)
+    return " ".join(_WORD.findall(unmarked(text))).encode()
 
 
-class _Hashes(dict):
-    """Hashes of the words met; forgotten when there are too many."""
+#: Texts, and bytes of them, hashed at once.
+_TEXTS, _BYTES = 2_048, 1 << 20
+_BASE = 0x9E3779B97F4A7C15
+_HASH = np.uint64((1 << 48) - 1)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
 
-
-_hash = _Hashes().__getitem__
-
-
-def _hashes(text: str) -> np.ndarray:
-    found = _words(text)
-    return np.fromiter(map(_hash, found), np.uint64, len(found))
+@lru_cache(maxsize=2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base of the rolling hash modulo 2^64, and of its inverse."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(size, base, np.uint64)
+        x[0] = 1
+        out.append(np.multiply.accumulate(x))
+    return out[0], out[1]
+
+
+def _chunk_hashes(texts: list[bytes]) -> list[np.ndarray]:
+    joined = b" ".join(texts) + b" "
+    u = np.frombuffer(joined, np.uint8)
+    inside = np.zeros(len(u) + 1, np.int8)
+    inside[1:] = u != 32
+    edge = np.diff(inside)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    power, inverse = _powers(1 << max(10, (len(u) - 1).bit_length()))
+    total = np.zeros(len(u) + 1, np.uint64)
+    np.cumsum(u.astype(np.uint64) * power[: len(u)], out=total[1:])
+    h = (total[end] - total[start]) * inverse[start]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    text = np.repeat(np.arange(len(texts), dtype=np.uint64), np.diff(np.searchsorted(start, np.concatenate(([0], np.cumsum(size))))))
+    both = text << np.uint64(48) | h >> np.uint64(16)
+    both.sort()
+    both = both[np.concatenate(([True], both[1:] != both[:-1]))[: len(both)]]
+    cut = np.searchsorted(both, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(48))
+    both &= _HASH
+    return [both[x:y] for x, y in zip(cut[:-1], cut[1:])]
+
+
+def word_hashes(texts: Iterable[str]) -> Iterator[np.ndarray]:
+    """The distinct words of each text as ascending 48-bit hashes; many texts are hashed in one go."""
+    held, size = [], 0
+    for text in texts:
+        held.append(_prepared(text))
+        size += len(held[-1])
+        if len(held) == _TEXTS or size > _BYTES:
+            yield from _chunk_hashes(held)
+            held, size = [], 0
+    if held:
+        yield from _chunk_hashes(held)
 
 
 def _set_hash(h: np.ndarray) -> tuple[int, int]:
-    """Two signed 64-bit hashes of a set of word hashes, in whatever order they come."""
-    mixed = h * np.uint64(0x9E3779B97F4A7C15)
-    both = np.array([h.sum(), (mixed ^ (mixed >> np.uint64(29))).sum()], np.uint64).view(np.int64)
+    """Two signed 64-bit hashes of a set of word hashes."""
+    mixed = h * np.uint64(0xD6E8FEB86659FD93)
+    mixed ^= mixed >> np.uint64(32)
+    both = np.array([mixed.sum(), (mixed * np.uint64(0xC2B2AE3D27D4EB4F) ^ mixed >> np.uint64(29)).sum()], np.uint64).view(np.int64)
     return int(both[0]), int(both[1])
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """``id, text`` to ``id, low, high (hash of the set), symbols, s0 (the first symbols' low bits)``."""
+    """``id, text`` to ``id, low, high (hash of the set), symbols, s0, s1 (the first symbols' low bits)``."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = (x.astype(np.uint32) for x in family(SYMBOLS, 11))
         for batch in batches:
             ids, low, high, symbols = [], [], [], []
-            for i, text in zip(batch["id"], batch["text"]):
-                h = _hashes(text)
+            for i, h in zip(batch["id"], word_hashes(batch["text"])):
                 if not len(h):
                     continue
                 one, two = _set_hash(h)
@@ -121,9 +156,9 @@ def sketches(texts: DataFrame) -> DataFrame:
                 m = np.stack(symbols)
                 bits = np.packbits(m[:, :_BITS] & 1, axis=1)
                 s = np.ascontiguousarray(bits).view(np.int64)
-                yield pd.DataFrame({"id": ids, "low": low, "high": high, "symbols": [r.tobytes() for r in m], "s0": s[:, 0]})
+                yield pd.DataFrame({"id": ids, "low": low, "high": high, "symbols": [r.tobytes() for r in m], "s0": s[:, 0], "s1": s[:, 1]})
 
-    return texts.mapInPandas(sketch, "id bigint, low bigint, high bigint, symbols binary, s0 bigint")
+    return texts.mapInPandas(sketch, "id bigint, low bigint, high bigint, symbols binary, s0 bigint, s1 bigint")
 
 
 def _columns(order: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -246,7 +281,7 @@ def plan(classes: DataFrame, similarity: float) -> list[np.ndarray]:
 
 
 def _probes(classes: DataFrame, chosen: list[np.ndarray]) -> DataFrame:
-    """``key, id, s0`` for each probe of each class."""
+    """``key, id, s0, s1`` for each probe of each class."""
 
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -255,9 +290,9 @@ def _probes(classes: DataFrame, chosen: list[np.ndarray]) -> DataFrame:
             m = np.frombuffer(b"".join(batch["symbols"]), np.uint8).reshape(-1, SYMBOLS)
             keys = np.stack([_mixed(m, which, 10_000 + c) for c, which in enumerate(chosen)], axis=1).view(np.int64)
             k = len(chosen)
-            yield pd.DataFrame({"key": keys.ravel(), "id": np.repeat(batch["id"].to_numpy(), k), "s0": np.repeat(batch["s0"].to_numpy(), k)})
+            yield pd.DataFrame({"key": keys.ravel(), "id": np.repeat(batch["id"].to_numpy(), k), "s0": np.repeat(batch["s0"].to_numpy(), k), "s1": np.repeat(batch["s1"].to_numpy(), k)})
 
-    return classes.select("id", "symbols", "s0").mapInPandas(probe, "key bigint, id bigint, s0 bigint")
+    return classes.select("id", "symbols", "s0", "s1").mapInPandas(probe, "key bigint, id bigint, s0 bigint, s1 bigint")
 
 
 def _far(similarity: float) -> int:
@@ -284,9 +319,9 @@ def near_classes(texts: DataFrame, similarity: float = 0.8) -> tuple[DataFrame,
     classes = rows.join(F.broadcast(gone) if copies.count() * 24 <= BROADCAST_BYTES else gone, "id", "left_anti")
     chosen = plan(classes, similarity)
     probes = _probes(classes, chosen)
-    a = probes.select("key", F.col("id").alias("a"), F.col("s0").alias("p0"))
-    b = probes.select("key", F.col("id").alias("b"), F.col("s0").alias("q0"))
-    far = F.bit_count(F.col("p0").bitwiseXOR(F.col("q0")))
+    a = probes.select("key", F.col("id").alias("a"), F.col("s0").alias("p0"), F.col("s1").alias("p1"))
+    b = probes.select("key", F.col("id").alias("b"), F.col("s0").alias("q0"), F.col("s1").alias("q1"))
+    far = F.bit_count(F.col("p0").bitwiseXOR(F.col("q0"))) + F.bit_count(F.col("p1").bitwiseXOR(F.col("q1")))
     candidates = a.join(b, (a["key"] == b["key"]) & (F.col("a") < F.col("b")) & (far <= _far(similarity))).select("a", "b")
     candidates = written(candidates.distinct(), "near-candidates")
     return verified(texts, candidates, similarity), rows.select("id").join(copies, "id", "left").select("id", F.coalesce("cls", "id").alias("cls"))
@@ -301,18 +336,17 @@ def verified(texts: DataFrame, candidates: DataFrame, similarity: float) -> Data
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "words": [np.unique(_hashes(t).astype(np.uint32)).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"id": batch["id"], "words": [(h >> np.uint64(16)).astype(np.uint32).tobytes() for h in word_hashes(batch["text"])]})
 
     @F.pandas_udf("double")
     def jaccard(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for p, q in zip(x, y):
-            p, q = np.frombuffer(p, np.uint32), np.frombuffer(q, np.uint32)
-            merged = np.concatenate((p, q))
-            merged.sort()
-            both = int(np.count_nonzero(merged[1:] == merged[:-1]))
-            out.append(both / (len(p) + len(q) - both))
-        return pd.Series(out, dtype=float)
+        n, m = x.str.len().to_numpy() // 4, y.str.len().to_numpy() // 4
+        pair = np.arange(len(n), dtype=np.uint64) << np.uint64(32)
+        merged = np.concatenate([np.frombuffer(b"".join(z), np.uint32) | np.repeat(pair, k) for z, k in ((x, n), (y, m))])
+        merged.sort()
+        again = merged[1:][merged[1:] == merged[:-1]] >> np.uint64(32)
+        both = np.bincount(again.astype(np.int64), minlength=len(n))
+        return pd.Series(both / (n + m - both))
 
     wanted = written(candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ids")
     found = spread(texts).join(F.broadcast(wanted) if wanted.count() * 24 <= BROADCAST_BYTES else wanted, "id", "left_semi").mapInPandas(sets, "id bigint, words binary")
