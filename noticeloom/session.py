@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_FOLDER: ContextVar[str] = ContextVar("folder", default="")
 #: Largest relation, in estimated bytes, that may be broadcast.
 BROADCAST_BYTES = 8 * 1024 * 1024
 
@@ -37,12 +41,25 @@ def written(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     written schema replaces any inference.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_FOLDER.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     writer = df.write.mode("error")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """What is ``written`` inside is deleted at the end; results must be stored elsewhere by then."""
+    folder = f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _FOLDER.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Rows read from storage in at least as many partitions as there are cores.
 
