@@ -1,18 +1,23 @@
 """Problem 1: new batches against all history, through a persisted minwise index.
 
 What a row says of its call are at most two nodes: its title (number, year, content words)
-and its link. The index is two folders of Parquet files, each cut into buckets by a hash
-(``bucket=n`` directories): ``keys`` with one row for each key of a node (minwise band keys
-over the title's letter trigrams, bound to number and year so that calls of other numbers
-never meet; one key for a link), and ``nodes`` with the words or the link and the call they
-belong to, so that hits are verified without reading any record again. A batch reads only
-the buckets its keys fall into, keeps of them only rows with one of its keys, verifies, and
-appends the nodes that the index lacks.
+and its link. The index is a folder of Parquet files cut into buckets by a hash
+(``bucket=n`` directories). A row of it is a node with its minwise band keys (over the
+title's letter trigrams, bound to number and year so that calls of other numbers never meet;
+one key for a link), the call it belongs to, and the words or the link, so that hits are
+verified without reading any record again. Titles go by the hash of number and year, so all
+keys of a title lie in one bucket: a batch of n rows opens at most 2 n buckets, whatever the
+history. The number of buckets doubles whenever they hold more than ``PER_BUCKET`` nodes on
+average, so the rows read follow the batch. A batch keeps of the buckets only rows with one
+of its keys, verifies, and appends the nodes that the index lacks.
+
+The words stand in the index in place of the whole signatures: the closer look compares
+words, and nothing it would accept is rejected by a similarity estimated before.
 
 Cases: null or blank titles and links have no node and repeat nothing; a title without
 number, year or subject is only found by its link; rows with equal titles or links are one
 node, never pairs; repeated ids are one row; an empty batch changes nothing; other columns
-are ignored.
+are ignored. An index opened again at its path goes on where it stood.
 """
 
 from __future__ import annotations
@@ -23,23 +28,26 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from noticeloom.llm.minwise import bands, grams, signature
 from noticeloom.llm.titles import read_link, read_title, same_subject
-from noticeloom.session import BROADCAST_BYTES, shared_dir, table, written
+from noticeloom.session import BROADCAST_BYTES, scratch, shared_dir, spread, table, written
 
 #: Listing pages that stand for no single call, as ``read_link`` writes them.
 LISTINGS = frozenset({"fapes.example/editais-abertos"})
 BANDS, ROWS = 10, 2
-BUCKETS = 16
+#: Buckets of a new index, and nodes a bucket holds on average at most.
+BUCKETS, PER_BUCKET = 16, 2_000
 #: Content words that a title needs at least, for its subject to count as named.
 LEAST_WORDS = 2
 
 _READ = "id bigint, batch_no int, named bigint, words string, link string, name_keys array<bigint>"
-_KEYS, _NODES = "key bigint, node bigint, bucket int", "node bigint, call bigint, words string, link string, bucket int"
+_NODES = "node bigint, call bigint, place bigint, words string, keys array<bigint>"
 
 
 def read_rows(df: DataFrame, id_col: str, title: str, link: str, batch: str, issuers: Iterable[str], listings: frozenset[str] = LISTINGS) -> DataFrame:
@@ -74,112 +82,161 @@ def verified(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.where(_same_subject(a, b))
 
 
+def _counted(df: DataFrame, label: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``df`` written, and measures of it observed while it was written."""
+    seen = Observation()
+    out = written(df.observe(seen, *[m.alias(name) for name, m in measures.items()]), label)
+    try:
+        return out, seen.get
+    except Py4JJavaError:  # a plan found empty on the way observes nothing
+        return out, out.agg(*[m.alias(name) for name, m in measures.items()]).first().asDict()
+
+
+def _light(df: DataFrame, rows: int, width: int) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows of ``width`` bytes are few enough."""
+    return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df
+
+
 class HistoryIndex:
     """The persisted index: ``seen(batch)`` gives the repeats of a batch and takes the batch in."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS):
-        self.spark, self.buckets = spark, buckets
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS, per_bucket: int = PER_BUCKET):
+        self.spark, self.per_bucket = spark, per_bucket
         self.path = path or f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
-        self.parts = 0
-        self.aliases: DataFrame | None = None  # calls found to be one with an earlier call
-
-    def _stored(self, part: str, schema: str, wanted: DataFrame, col: str) -> DataFrame:
-        """Rows of the index whose ``col`` is among ``wanted``, from the matching buckets only."""
-        wanted = wanted.select(F.col(wanted.columns[0]).alias(col)).distinct()
-        size = wanted.agg(F.count("*").alias("n"), F.collect_set(F.pmod(col, F.lit(self.buckets)).cast("int")).alias("hit")).first()  # at most self.buckets numbers
-        df = self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
-        df = df.where(F.col("bucket").isin(size["hit"])) if len(size["hit"]) < self.buckets else df
-        return df.join(F.broadcast(wanted) if size["n"] * 24 <= BROADCAST_BYTES else wanted, col, "left_semi")
-
-    def _store(self, df: DataFrame, part: str, col: str) -> None:
-        df = df.withColumn("bucket", F.pmod(col, F.lit(self.buckets)).cast("int")).repartition("bucket")
-        df.sortWithinPartitions("bucket", col).write.mode("append").partitionBy("bucket").parquet(f"{self.path}/{part}")
+        self.buckets, self.parts, self.size, self.turn = buckets, 0, 0, 0
+        self.filled: set[int] = set()  # buckets that have files
+        self.opened: list[int] = []  # number of buckets each batch has opened
+        try:
+            last = spark.read.parquet(f"{self.path}/state").orderBy(F.desc("parts")).first()
+        except AnalysisException:
+            last = None
+        if last:
+            self.buckets, self.parts, self.size, self.turn, self.filled = last["buckets"], last["parts"], last["size"], last["turn"], set(last["filled"])
+
+    def _nodes(self, numbers: Iterable[int]) -> DataFrame:
+        """The index's nodes of some buckets; no other directory is listed or read."""
+        paths = [f"{self.path}/nodes-{self.turn}/bucket={n}" for n in sorted(self.filled.intersection(numbers))]
+        return self.spark.read.schema(_NODES).parquet(*paths) if paths else self.spark.createDataFrame([], _NODES)
+
+    def aliases(self) -> DataFrame | None:
+        """``old, root``: calls that turned out to be an earlier one."""
+        return self.spark.read.schema("old bigint, root bigint").parquet(f"{self.path}/aliases-{self.parts - 1}") if self.parts > 1 else None
+
+    def _store(self, nodes: DataFrame) -> None:
+        """Appends nodes to their buckets, from as many tasks as there are buckets to share out."""
+        nodes, got = _counted(nodes.withColumn("bucket", F.pmod("place", F.lit(self.buckets)).cast("int")), "index-nodes", n=F.count("*"), filled=F.collect_set("bucket"))
+        if got["n"]:
+            nodes.repartition("bucket").sortWithinPartitions("bucket", "node").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/nodes-{self.turn}")
+        self.size += got["n"]
+        self.filled.update(got["filled"])
+
+    def _regrown(self) -> None:
+        """Doubles the buckets until they are small enough; each node is rewritten once a doubling."""
+        if self.size <= self.buckets * self.per_bucket:
+            return
+        nodes = self._nodes(self.filled)
+        while self.size > self.buckets * self.per_bucket:
+            self.buckets *= 2
+        self.turn, self.size, self.filled = self.turn + 1, 0, set()
+        self._store(nodes)
 
     def seen(self, rows: DataFrame) -> DataFrame:
         """``id, call``: every row of the batch with the first row of its call (itself if new)."""
+        with scratch(self.spark):
+            self._take(rows)
+        return self.spark.read.schema("id bigint, call bigint").parquet(f"{self.path}/found/part={self.parts - 1}")
+
+    def _take(self, rows: DataFrame) -> None:
         rows = rows.withColumn("by_title", F.when(F.col("named").isNotNull(), F.xxhash64("named", "words"))).withColumn("by_link", F.when(F.col("link").isNotNull(), F.xxhash64(F.lit("link"), "link")))
-        titles = rows.where("by_title is not null").groupBy(F.col("by_title").alias("node")).agg(F.min("id").alias("first"), F.first("words").alias("words"), F.first("name_keys").alias("name_keys"))
-        links = rows.where("by_link is not null").groupBy(F.col("by_link").alias("node")).agg(F.min("id").alias("first"), F.first("link").alias("link"))
-        nodes = written(titles.withColumn("link", F.lit(None).cast("string")).unionByName(links.withColumns({"words": F.lit(None).cast("string"), "name_keys": F.array().cast("array<bigint>")})), "batch-nodes")
-        keys = nodes.select("node", F.explode(F.when(F.col("link").isNotNull(), F.array("node")).otherwise(F.col("name_keys"))).alias("key"))
-        words = nodes.where("words is not null").select("node", "words")
-        pairs = keys.alias("x").join(keys.alias("y"), "key").where("x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-        pairs = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b")
-        edges = verified(pairs, "wa", "wb").select("a", "b")
-        edges = written(edges.unionByName(rows.where("by_title is not null and by_link is not null").select(F.col("by_title").alias("a"), F.col("by_link").alias("b")).distinct()), "batch-edges")
-        start = nodes.select("node", "first")
-        hits = None
+        titles = rows.where("by_title is not null").groupBy(F.col("by_title").alias("node")).agg(F.min("id").alias("first"), F.first(F.xxhash64("named")).alias("place"), F.first("words").alias("words"), F.first("name_keys").alias("keys"))
+        links = rows.where("by_link is not null").groupBy(F.col("by_link").alias("node")).agg(F.min("id").alias("first")).select("node", "first", F.col("node").alias("place"), F.lit(None).cast("string").alias("words"), F.array("node").alias("keys"))
+        hit = F.collect_set(F.pmod("place", F.lit(self.buckets)).cast("int"))  # at most as many numbers as there are buckets
+        nodes, got = _counted(titles.unionByName(links), "batch-nodes", n=F.count("*"), keys=F.sum(F.size("keys")), hit=hit)
+        n = got["n"]
+        of = _light(nodes.select("node", "words"), n, 256)
+        probes = nodes.select("node", F.explode("keys").alias("key"))
+        # nodes that share a key, in the batch and with the index
+        own = probes.join(probes.withColumnRenamed("node", "known"), "key").where("node < known").select("node", "known", F.lit(None).cast("bigint").alias("call")).distinct()
+        own = own.join(of, "node").join(of.withColumnsRenamed({"node": "known", "words": "w_known"}), "known")
+        pairs = verified(own.where("words is not null and w_known is not null"), "words", "w_known").select("node", "known", "call")
         if self.parts:
-            hits = written(self._hits(nodes, keys), "batch-hits")
-            start = start.join(hits.groupBy("node").agg(F.min("call").alias("call")), "node", "left").select("node", F.least("first", "call").alias("first"))
+            self.opened.append(len(self.filled.intersection(got["hit"])))
+            near = _light(probes, got["keys"] or 0, 24)
+            met = self._nodes(got["hit"]).select(F.col("node").alias("known"), "call", F.col("words").alias("w_known"), F.explode("keys").alias("key")).join(near, "key").drop("key").dropDuplicates(["node", "known"])
+            met = met.join(of, "node")
+            close = verified(met.where("node <> known and words is not null and w_known is not null"), "words", "w_known")
+            hits = met.where("node = known").select("node", "known", "call").unionByName(close.select("node", "known", "call"))
+            older = self.aliases()
+            if older is not None:
+                hits = hits.join(older, hits["call"] == older["old"], "left").select("node", "known", F.coalesce("root", "call").alias("call"))
+            pairs = pairs.unionByName(hits)
+        of_rows = rows.where("by_title is not null and by_link is not null").select(F.col("by_title").alias("node"), F.col("by_link").alias("known"), F.lit(None).cast("bigint").alias("call")).distinct()
+        pairs = written(pairs.unionByName(of_rows), "batch-pairs")
+        edges, hits = pairs.where("call is null").select(F.col("node").alias("a"), F.col("known").alias("b")), pairs.where("call is not null")
+        start = nodes.select("node", "first").join(hits.groupBy("node").agg(F.min("call").alias("call")), "node", "left").select("node", F.least("first", "call").alias("first"))
         labels = written(components(start, edges), "batch-labels")
-        t, k = labels.select(F.col("node").alias("by_title"), F.col("label").alias("lt")), labels.select(F.col("node").alias("by_link"), F.col("label").alias("lk"))
-        found = rows.select("id", "by_title", "by_link").join(t, "by_title", "left").join(k, "by_link", "left").groupBy("id").agg(F.min(F.least("id", "lt", "lk")).alias("call"))
-        found.write.mode("append").parquet(f"{self.path}/found/part={self.parts}")
-        self._append(nodes, labels, hits)
-        return self.spark.read.schema("id bigint, call bigint").parquet(f"{self.path}/found/part={self.parts - 1}")
+        t, k = _light(labels.select(F.col("node").alias("by_title"), F.col("label").alias("lt")), n, 24), _light(labels.select(F.col("node").alias("by_link"), F.col("label").alias("lk")), n, 24)
+        out = rows.select("id", "by_title", "by_link").join(t, "by_title", "left").join(k, "by_link", "left").groupBy("id").agg(F.min(F.least("id", "lt", "lk")).alias("call"))
+        out.write.mode("overwrite").parquet(f"{self.path}/found/part={self.parts}")
+        self._append(nodes, _light(labels, n, 24), hits)
 
     def found(self) -> DataFrame:
         """``id, call`` of all batches so far."""
         return self.spark.read.schema("id bigint, call bigint, part int").parquet(f"{self.path}/found").drop("part")
 
-    def _hits(self, nodes: DataFrame, keys: DataFrame) -> DataFrame:
-        """Verified hits of the batch in the index: ``node, known (the index's node), call``."""
-        met = self._stored("keys", _KEYS, keys.select("key"), "key").select("key", F.col("node").alias("known"))
-        pairs = written(keys.join(met, "key").select("node", "known").distinct(), "batch-met")
-        there = self._stored("nodes", _NODES, pairs.select("known"), "node").select(F.col("node").alias("known"), "call", F.col("words").alias("w_known"))
-        pairs = pairs.join(there, "known").join(nodes.select("node", "words"), "node")
-        near = verified(pairs.where("node <> known and words is not null and w_known is not null"), "words", "w_known")
-        hits = pairs.where("node = known").select("node", "known", "call").unionByName(near.select("node", "known", "call"))
-        if self.aliases is not None:
-            hits = hits.join(self.aliases, hits["call"] == self.aliases["old"], "left").select("node", "known", F.coalesce("root", "call").alias("call"))
-        return hits
-
-    def _append(self, nodes: DataFrame, labels: DataFrame, hits: DataFrame | None) -> None:
+    def _append(self, nodes: DataFrame, labels: DataFrame, hits: DataFrame) -> None:
         """Takes in the batch's nodes that the index lacks, and notes calls that turned out to be one."""
-        new = nodes.join(labels, "node").select("node", F.col("label").alias("call"), "words", "link", "name_keys")
-        if hits is not None:
-            new = new.join(hits.where("node = known").select("node").distinct(), "node", "left_anti")
+        new = nodes.join(labels, "node").select("node", F.col("label").alias("call"), "place", "words", "keys")
+        if self.parts:
+            new = new.join(hits.where("node = known").select("node"), "node", "left_anti")
             one = hits.select("node", "call").join(labels, "node").where("call <> label").groupBy(F.col("call").alias("old")).agg(F.min("label").alias("root"))
-            if not one.isEmpty():
-                one = written(one, "aliases")
-                older = self.aliases
-                if older is not None:
-                    older = older.alias("x").join(one.alias("y"), F.col("x.root") == F.col("y.old"), "left").select("x.old", F.coalesce("y.root", "x.root").alias("root"))
-                self.aliases = written(one if older is None else older.unionByName(one), "aliases")
-        self._store(new.select("node", "call", "words", "link"), "nodes", "node")
-        self._store(new.select("node", F.explode(F.when(F.col("link").isNotNull(), F.array("node")).otherwise(F.col("name_keys"))).alias("key")).select("key", "node"), "keys", "key")
+            older = self.aliases()
+            if older is not None:
+                kept = older.alias("x").join(one.alias("y"), F.col("x.root") == F.col("y.old"), "left").select("x.old", F.coalesce("y.root", "x.root").alias("root"))
+                one = one.unionByName(kept)
+            one.write.mode("overwrite").parquet(f"{self.path}/aliases-{self.parts}")
+        self._store(new)
+        self._regrown()
         self.parts += 1
+        state = [(self.buckets, self.parts, self.size, self.turn, sorted(self.filled))]
+        self.spark.createDataFrame(state, "buckets int, parts int, size bigint, turn int, filled array<int>").coalesce(1).write.mode("append").parquet(f"{self.path}/state")
 
 
 def components(start: DataFrame, edges: DataFrame) -> DataFrame:
     """``node, label``: the least ``first`` in each node's connected component.
 
     ``start`` holds ``node, first``, ``edges`` pairs of nodes. Each round passes the least
-    label on to the neighbours; every third round, whoever shares a label also shares its
+    label on to the neighbours twice; then whoever shares a label also shares its
     improvement, so long chains shorten by jumps. Only nodes with an edge take part. Ends
     when a round changes nothing.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = written(start.withColumnRenamed("first", "label").join(both.select(F.col("a").alias("node")).distinct(), "node", "left_semi"), "labels")
+    linked = start.withColumnRenamed("first", "label").join(both.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
+    labels, got = _counted(linked, "labels", n=F.count("*"))
+    n = got["n"]
+
+    def passed(now: DataFrame) -> DataFrame:
+        seen = both.join(_light(now.select(F.col("node").alias("b"), "label"), n, 24), "b").select(F.col("a").alias("node"), "label", F.lit(None).cast("bigint").alias("old"))
+        return now.select("node", "label", "old").unionByName(seen).groupBy("node").agg(F.min("label").alias("label"), F.min("old").alias("old"))
+
     turn = 0
     while True:
         turn += 1
-        passed = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), F.col("label").alias("seen"), F.lit(None).cast("bigint").alias("old"))
-        new = labels.select("node", F.col("label").alias("seen"), F.col("label").alias("old")).unionByName(passed).groupBy("node").agg(F.min("seen").alias("label"), F.min("old").alias("old"))
-        new = written(new, "labels")
-        if turn % 3 == 0:
+        new = passed(passed(labels.withColumn("old", F.col("label"))))
+        if turn % 2 == 0:
+            new = written(new, "labels")
             jump = new.groupBy("old").agg(F.min("label").alias("jump"))
-            new = written(new.join(jump, "old").select("node", F.least("label", "jump").alias("label"), "old"), "labels")
-        labels = new.select("node", "label")
-        if new.where("label <> old").isEmpty():
-            return start.join(labels, "node", "left").select("node", F.coalesce("label", "first").alias("label"))
+            new = new.join(_light(jump, n, 24), "old").select("node", F.least("label", "jump").alias("label"), "old")
+        labels, got = _counted(new, "labels", changed=F.count_if(F.col("label") < F.col("old")))
+        labels = labels.select("node", "label")
+        if not got["changed"]:
+            return start.join(_light(labels, n, 24), "node", "left").select("node", F.coalesce("label", "first").alias("label"))
 
 
 def repeats(edital: DataFrame, issuers: Iterable[str], path: str | None = None) -> DataFrame:
     """``edital_id_a, edital_id_b``: every repeat with the first row of its call, batch by batch."""
     spark = edital.sparkSession
-    rows = read_rows(edital, "edital_id", "nome", "link", "batch_no", issuers)
+    rows = read_rows(spread(edital), "edital_id", "nome", "link", "batch_no", issuers)
     staged = written(rows, "history-rows", ["batch_no"])
     index = HistoryIndex(spark, path)
     for (no,) in sorted(staged.select("batch_no").distinct().collect()):  # one row a batch
@@ -191,7 +248,7 @@ def repeats(edital: DataFrame, issuers: Iterable[str], path: str | None = None)
 
 def issuer_words(fonte: DataFrame) -> list[str]:
     """The words of the issuers' short names; ``fonte`` is a reference table of bounded size."""
-    return sorted({w for (s,) in fonte.select("sigla").where("sigla is not null").limit(10_000).collect() for w in s.lower().split("/")})
+    return sorted({w for (s,) in fonte.select("sigla").where("sigla is not null").distinct().collect() for w in s.lower().split("/")})
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

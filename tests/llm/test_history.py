@@ -61,3 +61,38 @@ def test_reading():
     assert repaired("PÃšBLICA") == "PÚBLICA" and plain("PÃšBLICA") == plain("PÚBLICA") == "publica"
     assert read_link("https://a.example/x?b=2&a=1&gclid=z") == read_link("http://www.A.example:80/x/?a=1&b=2") and read_link("https://a.example/") is None
     assert same_subject("energia solar polo goberó", "energai solar polo gobero") and not same_subject("energia solar campus gobero", "energia solar campus tuzimi")
+
+
+def test_cost_follows_the_batch(spark, tmp_path):
+    """A batch of 40 rows against 10 and 100 times the history opens and reads about the same."""
+    from noticeloom.llm.history import HistoryIndex, read_rows
+
+    read = []
+    for size in (300, 3_000, 30_000):
+        old = spark.range(size).selectExpr("id as edital_id", "concat('EDITAL Nº ', id % 997 + 1, '/', 2000 + id % 23, ' - BOLSAS ', md5(cast(id as string))) as nome", "concat('https://x.example/', id) as link", "0 as batch_no")
+        new = spark.range(40).selectExpr("id + 100000 as edital_id", "concat('EDITAL Nº ', id + 1, '/2010 - OUTRA ', md5(cast(-id as string))) as nome", "concat('https://x.example/', id) as link", "1 as batch_no")
+        index = HistoryIndex(spark, str(tmp_path / str(size)), buckets=4, per_bucket=20)
+        opened = []
+        nodes = index._nodes
+        index._nodes = lambda numbers, nodes=nodes, opened=opened: opened.append(nodes(numbers)) or opened[-1]  # what is read is kept
+        for rows in (old, new):
+            opened.clear()
+            index.seen(read_rows(rows, "edital_id", "nome", "link", "batch_no", []))
+        found = {r.id: r.call for r in index.found().where("id >= 100000").collect()}
+        assert found == {100000 + i: i for i in range(40)}
+        assert index.buckets >= size // 20 and index.opened[-1] <= 80
+        read.append(opened[0].count())
+    print("rows read:", read)
+    assert read[2] < 3 * read[1] and read[2] < 2_400
+
+
+def test_opened_again(spark, tmp_path):
+    from noticeloom.llm.history import HistoryIndex, read_rows
+
+    rows = [(i, A if i % 2 else A.replace("12/", f"{i}/"), None, 0, "") for i in range(1, 12)]
+    HistoryIndex(spark, str(tmp_path)).seen(read_rows(spark.createDataFrame(rows, SCHEMA), "edital_id", "nome", "link", "batch_no", ["fapes"]))
+    again = HistoryIndex(spark, str(tmp_path))
+    assert again.parts == 1 and again.size == 6
+    late = [(50, A, None, 1, ""), (51, A.replace("12/", "4/"), None, 1, "")]
+    again.seen(read_rows(spark.createDataFrame(late, SCHEMA), "edital_id", "nome", "link", "batch_no", ["fapes"]))
+    assert {r.id: r.call for r in again.found().where("id >= 50").collect()} == {50: 1, 51: 4}
