@@ -1,11 +1,14 @@
 """Problem 8: records of several sources mixed to target shares of the tokens, by Pareto order sampling.
 
 A source's target over its tokens is the mean number of copies of its texts. The whole part
-of it is given to every text; for the rest, texts are ranked by random odds over inclusion
-odds and the first ones are taken until the source's target is reached. The rank at which
-that happens is found from a histogram of the ranks (bounded: sources x cells), and an exact
-running sum only inside the one cell in which the target lies, so no source is ever sorted
-as a whole.
+of it is given to every text. For the rest a text's chance grows with its size: it is the
+size times a factor at which the expected tokens are what is left of the target, and 1 for
+texts so long that this exceeds it, which are certain. Texts are ranked by random odds over
+inclusion odds (Pareto order) and the first ones are taken until what is left is filled, a
+sample of fixed size in tokens. The factor comes from sums over size classes (bounded:
+sources x some eight classes an octave); the rank at which the target is reached from a
+histogram of the ranks (bounded: sources x cells), and an exact running sum only inside the
+one cell in which it lies, so no source is ever sorted as a whole.
 
 Cases: null and empty texts and texts without a source or of a source without target are
 never chosen; sources without any token get nothing, and their weight is spread over the
@@ -45,13 +48,32 @@ def targets(sized: DataFrame, goals: DataFrame, total: int | None = None) -> Dat
     return t.withColumn("whole", F.floor(mean + 1e-12).cast("int")).withColumn("part", F.greatest(mean - F.floor(mean + 1e-12), F.lit(0.0)))
 
 
+def chances(rows: DataFrame) -> DataFrame:
+    """``source, factor``: what a text's tokens are multiplied by for its chance, from ``source, n_tokens, open`` (tokens wanted).
+
+    The classes of the longest texts are certain as long as the factor for the others would
+    give one of them more than certainty; null if all texts must be.
+    """
+    size = F.floor(F.log2(F.col("n_tokens").cast("double")) * 8).cast("int")
+    classes = rows.groupBy("source", size.alias("class")).agg(F.sum("n_tokens").alias("t"), F.sum(F.col("n_tokens").cast("double") ** 2).alias("t2"), F.max("n_tokens").alias("longest"), F.first("open").alias("open"))
+    down = Window.partitionBy("source").orderBy(F.desc("class"))  # a few hundred classes a source at most
+    certain = F.coalesce(F.sum("t").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    factor = (F.col("open") - certain) / F.sum("t2").over(down.rowsBetween(0, Window.unboundedFollowing))
+    ok = classes.withColumn("factor", factor).where((F.col("factor") > 0) & (F.col("factor") * F.col("longest") <= 1))
+    return ok.groupBy("source").agg(F.max_by("factor", "class").alias("factor"))
+
+
 def mixed(sized: DataFrame, goals: DataFrame, total: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, source, n_tokens, copies; the shares reached)`` from ``doc_id, source, n_tokens``."""
     sized = written(sized.where("n_tokens > 0 and source is not null").select("doc_id", "source", "n_tokens", F.monotonically_increasing_id().alias("row")), "mix-sized")
     plan = written(targets(sized, goals, total), "mix-plan")
     rows = sized.join(small(plan.select("source", "target", "whole", "part", F.col("n_tokens").alias("all_tokens"))), "source").where("target > 0")
+    drawn = rows.where("part > 0").select("source", "n_tokens", (F.col("part") * F.col("all_tokens")).alias("open"))
+    rows = rows.join(small(written(chances(drawn), "mix-chances")), "source", "left")
     u = (F.pmod(F.xxhash64("doc_id", "row", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
-    odds = F.when(F.col("part") > 0, (u / (1 - u)) / (F.col("part") / (1 - F.col("part"))))
+    chance = F.col("n_tokens") * F.col("factor")
+    # the certain ones come first, in random order
+    odds = F.when(F.col("part") > 0, F.when(chance < 1, (u / (1 - u)) / (chance / (1 - chance))).otherwise(u * 1e-9))
     rows = rows.withColumn("rank", odds).withColumn("cell", F.when(F.col("rank").isNotNull(), F.floor(F.col("rank") / (1 + F.col("rank")) * CELLS).cast("int")))
     # the cell in which the running sum of the ranked tokens crosses what the whole copies leave open
     cells = rows.where("cell is not null").groupBy("source", "cell").agg(F.sum("n_tokens").alias("tokens"), F.first("part").alias("part"), F.first("all_tokens").alias("all_tokens"))

@@ -109,6 +109,26 @@ def test_mixture(spark):
     assert empty[0].count() == 0
 
 
+def test_chances_grow_with_size(spark):
+    """Over many seeds a text is drawn as often as its size says, and the longest always."""
+    rows = [(i, "a", 10 * (i % 10 + 1)) for i in range(200)] + [(900, "a", 4000)]
+    sized = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint")
+    goals = spark.createDataFrame([("a", 1.0, 1)], "source string, peso_alvo double, max_repeticoes int")
+    total = 8_000
+    drawn = {}
+    for seed in range(12):
+        chosen, report = mixed(sized, goals, total, seed)
+        got = chosen.collect()
+        assert abs(sum(r.n_tokens * r.copies for r in got) - total) <= 100
+        for r in got:
+            drawn[r.n_tokens] = drawn.get(r.n_tokens, 0) + 1
+    assert drawn[4000] == 12
+    # factor: what is left after the certain text, over the sum of squares of the others
+    factor = 4000 / sum(n * n for _, _, n in rows[:-1])
+    for n in (30, 60, 100):
+        assert abs(drawn.get(n, 0) / (20 * 12) - n * factor) < 0.12
+
+
 def page(no, host="h", body=None, chrome=True):
     rng = random.Random(no)
     name = lambda: "".join(rng.choice("bdgklmnprstvz") + rng.choice("aeiou") for _ in range(4)).capitalize()
