@@ -2,11 +2,13 @@
 
 Pages are ordered by host and URL path (one range shuffle, so a host with a third of all
 pages spans many tasks) and each is paired with the next ``NEAR`` pages of its host. The
-lines of a pair are aligned by longest common subsequence on line keys (letter case, blanks,
-numbers, weekdays and months apart); aligned lines are shared. Since notices of one host
-share formulas too, a shared line is not deleted outright: how often its key stands before
+lines of a pair are aligned by longest common subsequence (bit-parallel) on line keys: letter
+case, blanks, numbers, weekdays and months apart, titles of other notices all alike, of a
+path through the site the first step; and a second time on keys without names. Only lines
+whose key was aligned on some pair of near pages can be deleted. Since notices of one host
+share formulas too, such a line is not deleted outright: how often its key stands before
 the page's own heading, between heading and text, inside the text, or behind it, counted
-over all pages, tells page furniture from formulas.
+over all pages, tells page furniture from formulas; it only ever saves lines.
 
 Cases: null and blank texts have no lines; blank lines are never listed; of repeated ids one
 row counts; a page without a heading of its own loses only lines whose key is furniture
@@ -19,6 +21,7 @@ from __future__ import annotations
 import re
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,7 +33,7 @@ from noticeloom.llm.titles import plain, read_title, same_subject
 from noticeloom.session import small, table, written
 
 #: Neighbours on each side of a page.
-NEAR = 2
+NEAR = 4
 #: Least share of positions inside the text, of those inside and behind it, for a formula of notices.
 INSIDE = 0.62
 #: Least share of one kind of position, for a key to be of that kind wherever it stands.
@@ -46,14 +49,17 @@ NOTICE_KINDS = "edital chamada convocatoria selecao cp".split()
 # ------------------------------------------------------------------------------------
 _NAMES = re.compile(r"\b(?:" + "|".join(WEEKDAYS + MONTHS) + r")\b")
 _LABELLED = re.compile(r"^([^\W\d]+(?: [^\W\d]+)?): \S")
+_PATH = re.compile(r"^([^>»/|:]{1,40}?) ?(?:>|»|/|\||::) \S")
 _TITLE = re.compile(r"^(?:[a-z/]+ - )?(?:" + "|".join(NOTICE_KINDS) + r")\b.{0,60}?\d{1,4} ?/ ?(?:19|20)\d\d")
 
 
+@lru_cache(maxsize=50_000)
 def line_key(line: str) -> str:
     text = re.sub(r"\s+", " ", plain(line)).strip()
     return re.sub(r"\d+", "0", _NAMES.sub("@", text))
 
 
+@lru_cache(maxsize=50_000)
 def loose_key(line: str) -> str:
     """The key without names: capitalized words inside the line, and one before a comma at its start."""
     line = re.sub(r"^\s*[^\W\d_]+,", "@,", line.strip())
@@ -61,33 +67,33 @@ def loose_key(line: str) -> str:
 
 
 def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Index pairs of a longest common subsequence."""
-    lo = 0
-    while lo < min(len(a), len(b)) and a[lo] == b[lo]:
-        lo += 1
-    out = [(i, i) for i in range(lo)]
-    a, b = a[lo:], b[lo:]
-    known = set(b)
-    ia = [i for i, x in enumerate(a) if x in known]
-    known = set(a)
-    ib = [j for j, y in enumerate(b) if y in known]
-    a2, b2 = [a[i] for i in ia], [b[j] for j in ib]
-    m, n = len(a2), len(b2)
-    size = [[0] * (n + 1) for _ in range(m + 1)]
-    for i in range(m - 1, -1, -1):
-        row, below, x = size[i], size[i + 1], a2[i]
-        for j in range(n - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if x == b2[j] else max(below[j], row[j + 1])
-    i = j = 0
-    while i < m and j < n:
-        if a2[i] == b2[j]:
-            out.append((ia[i] + lo, ib[j] + lo))
-            i, j = i + 1, j + 1
-        elif size[i + 1][j] >= size[i][j + 1]:
-            i += 1
+    """Index pairs of a longest common subsequence.
+
+    Bit-parallel: after each line of ``a`` an integer has a zero bit at each line of ``b`` at
+    which the length grows; the way back reads lengths off these integers.
+    """
+    at: dict[int, int] = {}
+    for j, y in enumerate(b):
+        at[y] = at.get(y, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    grows, v = [full], full
+    for x in a:
+        u = v & at.get(x, 0)
+        v = (v + u | v - u) & full
+        grows.append(v)
+    out = []
+    i, j = len(a) - 1, len(b) - 1
+    while i >= 0 and j >= 0:
+        if a[i] == b[j]:
+            out.append((i, j))
+            i, j = i - 1, j - 1
+            continue
+        upto = (1 << j + 1) - 1
+        if (grows[i] & upto).bit_count() == (grows[i + 1] & upto).bit_count():
+            i -= 1  # as long without this line of a
         else:
-            j += 1
-    return out
+            j -= 1
+    return out[::-1]
 
 
 def _page(raw_id: int, host: str, title: str | None, text: str) -> dict:
@@ -108,24 +114,28 @@ def _page(raw_id: int, host: str, title: str | None, text: str) -> dict:
             kind |= _HEAD
         found |= bool(kind & _HEAD)
         kind |= _DATED if "0/0/0" in key or "0-0-0" in key else 0
-        if len(key) < 160 and not kind & (_HEAD | _OTHER | _DATED) and (m := _LABELLED.match(key)):
+        if not kind & (_HEAD | _OTHER | _DATED) and (m := _LABELLED.match(key)):
             kind |= _LABEL
             key = m[1] + ":"
+        if kind & _OTHER:
+            key = "@ title"
+        elif not kind & _HEAD and (m := _PATH.match(key)):
+            key = m[1] + " > @"
         loose.append(xxhash.xxh3_64_intdigest(loose_key(line)) - 2**63)
         keys.append(xxhash.xxh3_64_intdigest(key) - 2**63)
         kinds.append(kind)
         numbers.append(no)
-    return {"raw_id": raw_id, "host": host, "keys": keys, "kinds": kinds, "numbers": numbers, "loose": loose, "shared": np.zeros(len(keys), bool)}
+    return {"raw_id": raw_id, "host": host, "keys": keys, "kinds": kinds, "numbers": numbers, "loose": loose, "shared": np.zeros(len(keys), bool), "named": np.zeros(len(keys), bool)}
 
 
 def compared(pages: DataFrame) -> DataFrame:
-    """``raw_id, line_no, key, loose, kind, aligned`` of each line that is not blank."""
+    """``raw_id, line_no, key, loose, kind, aligned, named`` (aligned by the keys without names) of each line that is not blank."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         window: deque[dict] = deque()
 
         def rows(p: dict) -> pd.DataFrame:
-            return pd.DataFrame({"raw_id": p["raw_id"], "line_no": p["numbers"], "key": p["keys"], "loose": p["loose"], "kind": p["kinds"], "aligned": p["shared"]})
+            return pd.DataFrame({"raw_id": p["raw_id"], "line_no": p["numbers"], "key": p["keys"], "loose": p["loose"], "kind": p["kinds"], "aligned": p["shared"], "named": p["named"]})
 
         for batch in batches:
             out = []
@@ -135,6 +145,8 @@ def compared(pages: DataFrame) -> DataFrame:
                     if other["host"] == host:
                         for i, j in aligned(other["keys"], page["keys"]):
                             other["shared"][i] = page["shared"][j] = True
+                        for i, j in aligned(other["loose"], page["loose"]):
+                            other["named"][i] = page["named"][j] = True
                 window.append(page)
                 if len(window) > NEAR:
                     out.append(rows(window.popleft()))
@@ -143,7 +155,7 @@ def compared(pages: DataFrame) -> DataFrame:
         if window:
             yield pd.concat([rows(p) for p in window], ignore_index=True)
 
-    return pages.mapInPandas(compare, "raw_id bigint, line_no int, key bigint, loose bigint, kind int, aligned boolean")
+    return pages.mapInPandas(compare, "raw_id bigint, line_no int, key bigint, loose bigint, kind int, aligned boolean, named boolean")
 
 
 def furniture_lines(raw: DataFrame) -> DataFrame:
@@ -160,12 +172,13 @@ def furniture_lines(raw: DataFrame) -> DataFrame:
     has = lambda bit: F.col("kind").bitwiseAND(bit) != 0
     heads = lines.groupBy("raw_id").agg(F.min(F.when(has(_HEAD), F.col("line_no"))).alias("head"))
     lines = lines.join(heads, "raw_id")
-    # shared with a near page, or furniture somewhere by standing before a heading
-    known = lines.where(F.col("aligned") | (F.col("line_no") < F.col("head"))).select("key").distinct().withColumn("known", F.lit(True))
+    # shared by near pages somewhere
+    known = lines.where("aligned").select("key").distinct().withColumn("known", F.lit(True))
     lines = lines.join(small(written(known, "page-keys")), "key", "left")
     # lines that differ only in names and stand before headings elsewhere
-    named = lines.where(F.col("head").isNotNull()).groupBy("loose").agg(F.count_if(F.col("line_no") < F.col("head")).alias("pre"), F.count("*").alias("n"))
-    named = named.where(F.col("pre") >= BEFORE * F.col("n")).select("loose", F.lit(_OTHER).alias("furniture"))
+    before = F.count_if(F.col("line_no") < F.col("head"))
+    named = lines.groupBy("loose").agg(before.alias("pre"), F.count("head").alias("n"), F.max("named").alias("met")).where("met")
+    named = named.select("loose", "met", F.when((F.col("pre") > 0) & (F.col("pre") >= BEFORE * F.col("n")), _OTHER).alias("furniture"))
     lines = lines.join(small(written(named, "page-loose")), "loose", "left")
     lines = lines.withColumn("shared", F.coalesce("known", F.lit(False))).withColumn("kind", F.when(F.col("shared") | has(_HEAD), F.col("kind")).otherwise(F.col("kind").bitwiseOR(F.coalesce("furniture", F.lit(0)))))
     lines = lines.withColumn("seed", ~F.col("shared") & ~has(_HEAD) & ~has(_OTHER) & ~has(_LABEL))
@@ -173,7 +186,7 @@ def furniture_lines(raw: DataFrame) -> DataFrame:
     lines = lines.join(body, "raw_id", "left").withColumn(
         "place",
         F.when(has(_HEAD), "head").when(F.col("line_no") < F.col("head"), "pre").when(F.col("first").isNull() | (F.col("line_no") < F.col("first")), "rem").when(F.col("line_no") <= F.col("last"), "in").otherwise("post"),
-    ).select("raw_id", "line_no", "key", "kind", "shared", "place", F.col("head").isNotNull().alias("headed"), F.col("first").isNotNull().alias("bodied"))
+    ).select("raw_id", "line_no", "key", "kind", "shared", (F.col("shared") | F.coalesce("met", F.lit(False))).alias("met"), "place", F.col("head").isNotNull().alias("headed"), F.col("first").isNotNull().alias("bodied"))
     lines = written(lines, "page-places")
     at = lambda place: F.count_if(F.col("place") == place)
     stats = lines.where((F.col("shared") | has(_LABEL)) & F.col("headed") & F.col("bodied")).groupBy("key").agg(at("pre").alias("pre"), at("rem").alias("rem"), at("in").alias("ins"), at("post").alias("post"))
@@ -195,7 +208,7 @@ def furniture_lines(raw: DataFrame) -> DataFrame:
         .when(F.col("is_pre"), True)
         .otherwise(~F.coalesce("is_text", F.lit(True)))
     )
-    return lines.where(furniture).select("raw_id", "line_no")
+    return lines.where(F.col("met") & furniture).select("raw_id", "line_no")
 
 
 def main_text(raw: DataFrame) -> DataFrame:
