@@ -24,6 +24,12 @@ PROEX_NEGATIVE = ["resultado", "inscri", "matricul", "sorteio", "comunicado", "c
 PRPPG_POSITIVE = ["edital", "chamada pública", "chamada publica", "chamada", "retificado", "retificação", "retificacao"]
 PRPPG_NEGATIVE = ["resultado", "ata", "portaria", "etapa", "anexo"]
 FINEP_STOPS = ["Orçamento:", "**Orçamento**", "Disponibilização do sistema", "Data de Publicação:", "Data de publicação:"]
+FINEP_PUBLISHED = r"(?iu)Data\s+de\s+[Pp]ublica[cç][aã]o\s*:\s*(\d{2}/\d{2}/\d{4})"
+FINEP_DEADLINE = r"(?iu)Prazo\s+para\s+envio\s+de\s+propostas\s+até\s*:\s*(\d{2}/\d{2}/\d{4})"
+FINEP_THEMES = r"(?isu)Tema\s*\(s\)\s*:\s*(.+?)(?=\s*Situacão|\s*Documentos|\n\s*\n[A-Z]|$)"
+FINEP_DOCUMENT = r"\.pdf|\.odt|\.doc|\.pptx|\.odp|chamadas-publicas"
+FAPES_BLOCKS = ["accordion-group", "panel-group", "item-edital"]
+FAPES_DOCUMENT = r"\.pdf|\.doc|\.docx|\.xls|\.xlsx|\.zip|\.odt"
 FINEP_CATEGORIES = ["divulgação de conhecimento", "extensão", "inovação"]
 CATEGORY_WORDS = ["extensão", "pesquisa", "inovação"]
 # ------------------------------------------------------------------------------------
