@@ -42,7 +42,7 @@ from noticeloom.session import BROADCAST_BYTES, scratch, shared_dir, spread, tab
 LISTINGS = frozenset({"fapes.example/editais-abertos"})
 BANDS, ROWS = 10, 2
 #: Buckets of a new index, and nodes a bucket holds on average at most.
-BUCKETS, PER_BUCKET = 16, 2_000
+BUCKETS, PER_BUCKET = 16, 10_000
 #: Content words that a title needs at least, for its subject to count as named.
 LEAST_WORDS = 2
 
@@ -74,7 +74,7 @@ def read_rows(df: DataFrame, id_col: str, title: str, link: str, batch: str, iss
 
 @F.pandas_udf(BooleanType())
 def _same_subject(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([same_subject(x, y) for x, y in zip(a, b)])
+    return pd.Series([x is not None and y is not None and same_subject(x, y) for x, y in zip(a, b)], dtype=bool)
 
 
 def verified(pairs: DataFrame, a: str, b: str) -> DataFrame:
@@ -124,9 +124,13 @@ class HistoryIndex:
 
     def _store(self, nodes: DataFrame) -> None:
         """Appends nodes to their buckets, from as many tasks as there are buckets to share out."""
-        nodes, got = _counted(nodes.withColumn("bucket", F.pmod("place", F.lit(self.buckets)).cast("int")), "index-nodes", n=F.count("*"), filled=F.collect_set("bucket"))
-        if got["n"]:
-            nodes.repartition("bucket").sortWithinPartitions("bucket", "node").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/nodes-{self.turn}")
+        seen, measures = Observation(), [F.count("*").alias("n"), F.collect_set("bucket").alias("filled")]
+        nodes = nodes.withColumn("bucket", F.pmod("place", F.lit(self.buckets)).cast("int"))
+        nodes.observe(seen, *measures).repartition("bucket").sortWithinPartitions("bucket", "node").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/nodes-{self.turn}")
+        try:
+            got = seen.get
+        except Py4JJavaError:  # a plan found empty on the way observes nothing
+            got = nodes.agg(*measures).first()
         self.size += got["n"]
         self.filled.update(got["filled"])
 
@@ -164,8 +168,7 @@ class HistoryIndex:
             near = _light(probes, got["keys"] or 0, 24)
             met = self._nodes(got["hit"]).select(F.col("node").alias("known"), "call", F.col("words").alias("w_known"), F.explode("keys").alias("key")).join(near, "key").drop("key").dropDuplicates(["node", "known"])
             met = met.join(of, "node")
-            close = verified(met.where("node <> known and words is not null and w_known is not null"), "words", "w_known")
-            hits = met.where("node = known").select("node", "known", "call").unionByName(close.select("node", "known", "call"))
+            hits = met.where((F.col("node") == F.col("known")) | _same_subject("words", "w_known")).select("node", "known", "call")
             older = self.aliases()
             if older is not None:
                 hits = hits.join(older, hits["call"] == older["old"], "left").select("node", "known", F.coalesce("root", "call").alias("call"))
@@ -178,13 +181,13 @@ class HistoryIndex:
         t, k = _light(labels.select(F.col("node").alias("by_title"), F.col("label").alias("lt")), n, 24), _light(labels.select(F.col("node").alias("by_link"), F.col("label").alias("lk")), n, 24)
         out = rows.select("id", "by_title", "by_link").join(t, "by_title", "left").join(k, "by_link", "left").groupBy("id").agg(F.min(F.least("id", "lt", "lk")).alias("call"))
         out.write.mode("overwrite").parquet(f"{self.path}/found/part={self.parts}")
-        self._append(nodes, _light(labels, n, 24), hits)
+        self._append(nodes, _light(labels, n, 24), hits, n)
 
     def found(self) -> DataFrame:
         """``id, call`` of all batches so far."""
         return self.spark.read.schema("id bigint, call bigint, part int").parquet(f"{self.path}/found").drop("part")
 
-    def _append(self, nodes: DataFrame, labels: DataFrame, hits: DataFrame) -> None:
+    def _append(self, nodes: DataFrame, labels: DataFrame, hits: DataFrame, n: int) -> None:
         """Takes in the batch's nodes that the index lacks, and notes calls that turned out to be one."""
         new = nodes.join(labels, "node").select("node", F.col("label").alias("call"), "place", "words", "keys")
         if self.parts:
@@ -195,6 +198,9 @@ class HistoryIndex:
                 kept = older.alias("x").join(one.alias("y"), F.col("x.root") == F.col("y.old"), "left").select("x.old", F.coalesce("y.root", "x.root").alias("root"))
                 one = one.unionByName(kept)
             one.write.mode("overwrite").parquet(f"{self.path}/aliases-{self.parts}")
+        if not self.parts:  # room for as much again
+            while 2 * n > self.buckets * self.per_bucket:
+                self.buckets *= 2
         self._store(new)
         self._regrown()
         self.parts += 1
