@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeloom.constants import AGENCY_SOURCES, SOURCES
 from noticeloom.functions.text import filled, stripped
+from noticeloom.session import small, written
 
 SCHEMA = "source string, chave string, seq bigint"
 
@@ -40,14 +41,21 @@ def write_json(registry: DataFrame) -> DataFrame:
 def appended(registry: DataFrame, new: DataFrame, order: str) -> DataFrame:
     """Rows to append: unseen, non-empty keys of known sources, numbered on in their order.
 
-    The first of equal new keys counts. Numbering is a window over the *new* keys of a
-    source only; the registry itself is read once, for its greatest ``seq``.
+    The first of equal new keys counts. The new keys are sorted by range over all tasks and
+    numbered inside each range; a range goes on where the ranges before it end, so that a
+    source with most of the keys is no single task. The registry is read once more, for its
+    greatest ``seq``.
     """
     fresh = known_sources(new).where(filled(F.col("chave")).isNotNull()).groupBy("source", "chave").agg(F.min(order).alias("__at"))
     fresh = fresh.join(registry.select("source", "chave"), ["source", "chave"], "left_anti")
+    ranges = written(fresh.repartitionByRange("source", "__at", "chave").withColumn("__range", F.spark_partition_id()), "registry-ranges")
+    counts = ranges.groupBy("source", "__range").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))  # one row a range
     last = registry.groupBy("source").agg(F.max("seq").alias("__last"))
-    n = F.row_number().over(Window.partitionBy("source").orderBy("__at", "chave"))
-    return fresh.join(last, "source", "left").select("source", "chave", (F.coalesce("__last", F.lit(-1)) + n).cast("bigint").alias("seq"))
+    starts = counts.select("source", "__range", F.coalesce(before, F.lit(0)).alias("__before")).join(last, "source", "left")
+    n = F.row_number().over(Window.partitionBy("source", "__range").orderBy("__at", "chave"))
+    numbered = ranges.withColumn("__n", n).join(small(starts), ["source", "__range"])
+    return numbered.select("source", "chave", (F.coalesce("__last", F.lit(-1)) + F.col("__before") + F.col("__n")).cast("bigint").alias("seq"))
 
 
 def rebuilt(registry: DataFrame, records: DataFrame, file_key: str) -> DataFrame:

@@ -52,22 +52,23 @@ def main_document(docs: Column, kind: str = "document_type") -> Column:
     return F.coalesce(F.get(F.filter(docs, lambda d: d[kind] == "edital"), F.lit(0)), F.get(docs, F.lit(0)))
 
 
-def nested(rows: DataFrame, block: list[str], order: str, fields: list[str]) -> DataFrame:
+def nested(rows: DataFrame, block: list[str], order: str, fields: list[str], kind: str = "document_type") -> DataFrame:
     """one row for each block: its main document and the others nested under it, in order.
 
     A block is a group of links on a page; exact copies of the main document vanish.
     """
     docs = F.sort_array(F.collect_list(F.struct(F.col(order).alias("__at"), *fields)))
-    grouped = rows.groupBy(*block).agg(docs.alias("docs")).withColumn("main", main_document(F.col("docs")))
+    grouped = rows.groupBy(*block).agg(docs.alias("docs")).withColumn("main", main_document(F.col("docs"), kind))
     same = lambda d: F.struct(*[d[f] for f in fields]).eqNullSafe(F.struct(*[F.col("main")[f] for f in fields]))
     others = F.transform(F.filter("docs", lambda d: ~same(d)), lambda d: F.struct(*[d[f].alias(f) for f in fields]))
     return grouped.select(*block, *[F.col("main")[f].alias(f) for f in fields], others.alias("attachments"))
 
 
 def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    """The first row of each key; aggregated before the shuffle, so a key may have any number of rows."""
+    rest = [c for c in df.columns if c not in keys]
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
+    return first.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
 
 
 def last_title_of(df: DataFrame, key: str, title: str, order: str) -> DataFrame:

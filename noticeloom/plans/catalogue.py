@@ -94,11 +94,11 @@ def attachment_link_title(spark, d):
 
 
 @query("""with t as (select doc_id, text, instr(text, '1. ') as a from documents where text is not null),
-  r as (select doc_id, a, substring(text, a) as rest from t where a > 0),
+  r as (select doc_id, a, case when a > 0 then substring(text, a) else '' end as rest from t),
   e as (select doc_id, rest, list_min(list_filter([instr(rest, '2. '), instr(rest, 'DISPOSIÇÕES'), instr(rest, 'CRONOGRAMA')], lambda p: p > 1)) as e from r)
   select doc_id, trim(regexp_replace(case when e is null then rest else substring(rest, 1, e - 1) end, '[\\s\\x{00a0}\\x{0085}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+', ' ', 'g')) as section from e""")
 def first_section_text(spark, d):
-    docs = table(spark, d, "documents").where(F.instr("text", "1. ") > 0)
+    docs = table(spark, d, "documents").where("text is not null")
     return docs.select("doc_id", text.section(F.col("text"), "1. ", ["2. ", "DISPOSIÇÕES", "CRONOGRAMA"]).alias("section"))
 
 
@@ -142,8 +142,9 @@ def schedule_text_dates(spark, d):
     return t.select("raw_id", "fetched_at", "pos", dates.last_schedule_date(F.col("v")).alias("last_date"), se["start"].alias("start_date"), se["end"].alias("end_date"), rng["start"].alias("range_start"))
 
 
-@query("""with t as (select o_orderkey, o_orderdate::date as d, (o_custkey % 40)::int as n from orders), u as (select *, isodow(d) - 1 as wd, least(isodow(d) - 1, 4) as st from t)
-  select o_orderkey, n, case when n = 0 then strftime(d, '%Y-%m-%d') else strftime(d + (st - wd + n + 2 * ((st + n) // 5))::int, '%Y-%m-%d') end as business, strftime(d + n, '%Y-%m-%d') as calendar from u""")
+# day by day: the n-th of the following days that is a working day (60 days hold more than 40)
+@query("""with t as (select o_orderkey, o_orderdate::date as d, (o_custkey % 40)::int as n from orders)
+  select o_orderkey, n, strftime(case when n = 0 then d else list_filter(list_transform(range(1, 61), lambda k: d + k::int), lambda x: isodow(x) <= 5)[n] end, '%Y-%m-%d') as business, strftime(d + n, '%Y-%m-%d') as calendar from t""")
 def day_arithmetic(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"), (F.col("o_custkey") % 40).cast("int").alias("n"))
     return o.select("o_orderkey", "n", dates.plus_business_days(F.col("d"), F.col("n")).alias("business"), dates.plus_days(F.col("d"), F.col("n"), F.col("d")).alias("calendar"))
@@ -156,21 +157,15 @@ def year_gates(spark, d):
     return y.select("edital_id", "year", (F.col("year").isNull() | (F.col("year") >= 2024)).alias("not_past"), dates.in_window(F.col("year"), 2024).alias("in_window"))
 
 
-@query(r"""select edital_id, year(try_cast(regexp_extract(x, '(\d{2})/(\d{2})/(\d{4})', 3) || '-' || regexp_extract(x, '(\d{2})/(\d{2})/(\d{4})', 2) || '-' || regexp_extract(x, '(\d{2})/(\d{2})/(\d{4})', 1) as date))::int as year
-  from (select edital_id, 'Prazo para envio de propostas até: ' || trim(data_encerramento) as x from edital where regexp_matches(data_encerramento, '^ *\d{2}/\d{2}/\d{4}'))""")
+@query(rf"""select edital_id, year(try_cast(regexp_extract(x, '^(\d{{2}})/(\d{{2}})/(\d{{4}})', 3) || '-' || regexp_extract(x, '^(\d{{2}})/(\d{{2}})/(\d{{4}})', 2) || '-' || regexp_extract(x, '^(\d{{2}})/(\d{{2}})/(\d{{4}})', 1) as date))::int as year
+  from (select edital_id, regexp_replace(data_encerramento, '^{WS}+', '') as x from edital where data_encerramento is not null)""")
 def deadline_years(spark, d):
-    e = table(spark, d, "edital").where(F.col("data_encerramento").rlike(r"^ *\d{2}/\d{2}/\d{4}"))
-    return e.select("edital_id", dates.deadline_year(F.concat(F.lit("Prazo para envio de propostas até: "), F.trim("data_encerramento"))).alias("year"))
-
-
-@query(None)
-def deadline_years_all(spark, d):
-    # every value; deadline_years is the part its SQL states
     e = table(spark, d, "edital").where("data_encerramento is not null")
     return e.select("edital_id", dates.deadline_year(F.concat(F.lit("Prazo para envio de propostas até: "), text.stripped(F.col("data_encerramento")))).alias("year"))
 
 
-@query(None)
+@query("""select edital_id, strftime(timezone('America/Sao_Paulo', timezone('UTC', ingested_at)), '%Y-%m-%d %H:%M:%S') || ' ' || case when h < 0 then '-' else '+' end || lpad((abs(h) // 60)::int::varchar, 2, '0') || ':' || lpad((abs(h) % 60)::int::varchar, 2, '0') as stamp
+  from (select edital_id, ingested_at, date_diff('minute', ingested_at, timezone('America/Sao_Paulo', timezone('UTC', ingested_at))) as h from edital)""")
 def local_run_stamps(spark, d):
     return table(spark, d, "edital").select("edital_id", dates.local_stamp(F.col("ingested_at")).alias("stamp"))
 
@@ -186,17 +181,9 @@ def attachment_kinds(spark, d):
     return a.select("edital_id", "link", links.attachment_type(u).alias("kind"), links.is_pdf(u).alias("is_pdf"), links.mentions_document(u).alias("mentions"))
 
 
-@query(r"""with t as (select edital_id, regexp_replace(link, '^[a-z]+://[^/]+/', '') as href from edital where link is not null and regexp_matches(link, '^https?://[^/]+/[^?#:]*$') and not contains(link, './'))
-  select edital_id, case when href = '' then 'https://portal.example/lista' else 'https://portal.example/' || ltrim(href, '/') end as url from t""")
-def resolved_links(spark, d):
-    t = table(spark, d, "edital").where(F.col("link").rlike(r"^https?://[^/]+/[^?#:]*$") & ~F.col("link").contains("./"))
-    href = F.regexp_replace("link", r"^[a-z]+://[^/]+/", "")
-    return t.select("edital_id", links.absolute(href, F.lit("https://portal.example/"), F.lit("https://portal.example/lista")).alias("url"))
-
-
 @query(None)
-def resolved_links_all(spark, d):
-    # every link, those with queries, fragments, ports and dotted paths too; resolved_links is the part its SQL states
+def resolved_links(spark, d):
+    # tested against urljoin, link by link
     t = table(spark, d, "edital").where("link is not null")
     href = F.regexp_replace("link", r"^[a-z]+://[^/]+/", "")
     return t.select("edital_id", links.absolute(href, F.lit("https://portal.example/"), F.lit("https://portal.example/lista")).alias("url"))
@@ -206,11 +193,11 @@ def resolved_links_all(spark, d):
   select f.link, f.edital_id as first_id, f.nome as first_title, l.nome as last_title from t f join t l on f.link = l.link where f.a = 1 and l.b = 1""")
 def link_first_and_last_wins(spark, d):
     e = table(spark, d, "edital").where("link is not null").select("link", "edital_id", "nome")
-    # one shuffle and map-side aggregation serve both policies
-    return e.groupBy("link").agg(F.min("edital_id").alias("first_id"), F.min_by("nome", "edital_id").alias("first_title"), F.max_by("nome", "edital_id").alias("last_title"))
+    first = sel.first_of(e, ["link"], ["edital_id"]).select("link", F.col("edital_id").alias("first_id"), F.col("nome").alias("first_title"))
+    return first.join(sel.last_title_of(e, "link", "nome", "edital_id").select("link", F.col("nome").alias("last_title")), "link")
 
 
-@query(None)
+@query(f"""select raw_id, fetched_at, u.url as href, regexp_replace(u.title, '^{WS}+|{WS}+$', '', 'g') as text from (select raw_id, fetched_at, unnest(attachments) as u from raw_edital) where u.url <> '' and u.title is not null""")
 def html_anchors(spark, d):
     raw = table(spark, d, "raw_edital")
     html = F.concat(F.lit("<ul><li>"), F.array_join(F.transform("attachments", lambda a: F.concat(F.lit('<a href="'), a["url"], F.lit('"> '), a["title"], F.lit(" </a>"))), "<li>"), F.lit("</ul>"))
@@ -264,6 +251,16 @@ def group_main_document(spark, d):
     return r.join(mains, "group_id").select("raw_id", "group_id", "main_id")
 
 
+@query("""with t as (select edital_id, u.titulo as titulo, u.link as link, i from (select edital_id, unnest(anexos) as u, unnest(range(len(anexos))) as i from edital)),
+  k as (select *, case when regexp_matches(lower(titulo), 'anexo|formulário|declaração') then 'anexo' when regexp_matches(lower(titulo), 'alteração|retificação|aditivo') then 'alteração' else 'edital' end as kind from t),
+  m as (select *, row_number() over (partition by edital_id order by case when kind = 'edital' then 0 else 1 end, i) as n from k)
+  select m.edital_id, any_value(m.titulo) as main_title, any_value(m.kind) as main_kind, count(k.edital_id) filter (where k.titulo is distinct from m.titulo or k.link is distinct from m.link or k.kind is distinct from m.kind)::int as n_attachments
+  from m join k on m.edital_id = k.edital_id where m.n = 1 group by m.edital_id""")
+def nested_documents(spark, d):
+    docs = table(spark, d, "edital").select("edital_id", F.posexplode("anexos").alias("pos", "a")).select("edital_id", "pos", "a.titulo", "a.link", document_kind(F.col("a.titulo")).alias("kind"))
+    return sel.nested(docs, ["edital_id"], "pos", ["titulo", "link", "kind"], "kind").select("edital_id", F.col("titulo").alias("main_title"), F.col("kind").alias("main_kind"), F.size("attachments").alias("n_attachments"))
+
+
 @query(r"""with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents where text is not null),
   e as (select *, sum(case when regexp_matches(line, '^\d+\. ') then 1 else 0 end) over (partition by doc_id order by pos) as entry from l)
   select doc_id, entry::bigint as entry, count(*) as n_lines, sum(length(line))::bigint as n_chars from e where entry > 0 group by all""")
@@ -280,18 +277,10 @@ def ordered_distinct_tags(spark, d):
     return e.select("edital_id", F.array_join(sel.ordered_distinct(F.col("tags"), F.array("categoria", "source")), "|").alias("tags"))
 
 
-@query("""with t as (select link, edital_id, nome from edital where link is not null and link <> 'https://www.fapes.example/editais-abertos'),
-  k as (select link, nome, row_number() over (partition by link order by length(nome) desc, edital_id) as n from t) select link, nome as title from k where n = 1""")
-def best_title_per_link(spark, d):
-    e = table(spark, d, "edital").where("link is not null and link <> 'https://www.fapes.example/editais-abertos' and nome is not null")
-    # without generic titles the fold over arrival order is the longest title, the earlier of equals
-    return e.groupBy("link").agg(F.max_by("nome", F.struct(F.length("nome"), -F.col("edital_id"))).alias("title"))
-
-
 @query(f"""with t as (select link, edital_id, nome, lower(regexp_replace(nome, '^{WS}+|{WS}+$', '', 'g')) in ('baixar', 'clique aqui', 'download', 'pdf', '') as generic from edital where link is not null),
   k as (select link, nome, row_number() over (partition by link order by nome is null, generic, case when generic then 0 else length(nome) end desc, edital_id) as n from t) select link, nome as title from k where n = 1""")
-def best_title_per_link_all(spark, d):
-    # every link, the one with a tenth of all rows too; best_title_per_link is the part its SQL states
+def best_title_per_link(spark, d):
+    # every link, the one with a tenth of all rows too
     return sel.best_title_of(table(spark, d, "edital").where("link is not null"), "link", "nome", "edital_id")
 
 
@@ -361,20 +350,18 @@ _SCHEDULE = rf"""with t as (select edital_id, i, cronograma[i].evento as ev, cro
 
 @query(rf"""{_SCHEDULE},
   p as (select edital_id, min(struct_pack(i := i, d := iso)) filter (where {_any('ev', OPENING_TOKENS)}) as a, min(struct_pack(i := i, d := iso)) filter (where {_any('ev', START_TOKENS)}) as b, min(struct_pack(i := i, d := iso)) as c from n where regexp_matches(iso, '^\d{{4}}-\d{{2}}-\d{{2}}') group by 1)
-  select e.edital_id, coalesce(nullif(a.d, '2026-01-01'), nullif(b.d, '2026-01-01'), nullif(c.d, '2026-01-01'), '2026-01-01') as opening from edital e left join p on e.edital_id = p.edital_id
-  where not exists (select 1 from unnest(e.cronograma) as x(u) where regexp_matches(lower(u.data), '\d+\s+dias'))""")
+  select e.edital_id, coalesce(nullif(a.d, '2026-01-01'), nullif(b.d, '2026-01-01'), nullif(c.d, '2026-01-01'), '2026-01-01') as opening from edital e left join p on e.edital_id = p.edital_id""")
 def opening_dates(spark, d):
-    e = table(spark, d, "edital").where(~F.coalesce(F.exists("cronograma", lambda i: F.lower(i["data"]).rlike(r"\d+\s+dias")), F.lit(False)))
+    e = table(spark, d, "edital")
     return e.select("edital_id", sched.opening_date(sched.normalized(F.col("cronograma"))).alias("opening"))
 
 
 @query(rf"""{_SCHEDULE},
   m as (select *, nullif({_last_date("coalesce(v, '')")}, '') as own from n),
   q as (select edital_id, min(struct_pack(i := i, d := coalesce(own, iso))) filter (where coalesce(own, iso) is not null and {_any('ev', END_TOKENS)}) as a, min(struct_pack(i := i, d := own)) filter (where own is not null and {_any('ev', START_TOKENS)}) as b from m group by 1)
-  select e.edital_id, coalesce(a.d, b.d, '') as closing from edital e left join q on e.edital_id = q.edital_id
-  where not exists (select 1 from unnest(e.cronograma) as x(u) where regexp_matches(lower(u.data), '\d+\s+dias'))""")
+  select e.edital_id, coalesce(a.d, b.d, '') as closing from edital e left join q on e.edital_id = q.edital_id""")
 def closing_dates(spark, d):
-    e = table(spark, d, "edital").where(~F.coalesce(F.exists("cronograma", lambda i: F.lower(i["data"]).rlike(r"\d+\s+dias")), F.lit(False)))
+    e = table(spark, d, "edital")
     raw = F.coalesce("cronograma", F.array().cast("array<struct<evento:string,data:string>>"))
     return e.select("edital_id", sched.closing_date(raw, sched.normalized(F.col("cronograma"))).alias("closing"))
 
@@ -389,13 +376,12 @@ def _schedules(spark: SparkSession, d: str) -> DataFrame:
 
 @query(None)
 def opening_dates_all(spark, d):
-    # opening_dates is the part its SQL states
+    # both tables, with the relative dates that SQL does not resolve
     return _schedules(spark, d).select("tabela", "row_id", "fetched_at", sched.opening_date(sched.normalized(F.col("s"))).alias("opening"))
 
 
 @query(None)
 def closing_dates_all(spark, d):
-    # closing_dates is the part its SQL states
     return _schedules(spark, d).select("tabela", "row_id", "fetched_at", sched.closing_date(F.col("s"), sched.normalized(F.col("s"))).alias("closing"))
 
 

@@ -7,7 +7,7 @@ import os
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeloom.constants import DOMAIN_SCHEMA
@@ -19,8 +19,8 @@ def keyed(records: DataFrame, order: str) -> DataFrame:
     """``file, json``: one row per file key, the last by ``order``; nulls are written, not left out."""
     anonymous = F.concat(F.lit("edital_anonimo_"), F.col(order).cast("string"))
     rows = records.select(file_key(F.coalesce("nome", F.lit("")), anonymous).alias("file"), F.col(order).alias("__at"), *[F.col(f"`{c}`") for c in DOMAIN])
-    last = rows.withColumn("__n", F.row_number().over(Window.partitionBy("file").orderBy(F.desc("__at")))).where("__n = 1")
-    return last.select("file", F.to_json(F.struct(*DOMAIN), {"ignoreNullFields": "false"}).alias("json"))
+    last = rows.groupBy("file").agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in DOMAIN]), "__at").alias("last"))
+    return last.select("file", F.to_json("last", {"ignoreNullFields": "false"}).alias("json"))
 
 
 def write_partitioned(records: DataFrame, order: str, path: str) -> None:

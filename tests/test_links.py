@@ -15,7 +15,7 @@ def resolved(link):
 
 def check(spark, folder):
     want = {r.edital_id: resolved(r.link) for r in spark.read.parquet(f"{folder}/edital.parquet").where("link is not null").collect()}
-    rows = catalogue.QUERIES["resolved_links_all"](spark, folder).collect()
+    rows = catalogue.QUERIES["resolved_links"](spark, folder).collect()
     assert len(rows) == len(want) and {r.edital_id: r.url for r in rows} == want
 
 
