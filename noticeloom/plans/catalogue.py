@@ -18,6 +18,7 @@ from noticeloom.operators.normalize import domain_records, record_from_answer, s
 from noticeloom.plans.instants import p2_found
 from noticeloom.session import table
 from noticeloom.sinks.json_files import keyed, rendered_log
+from noticeloom.sources import portals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found}
 ORACLE: dict[str, str] = {}
@@ -432,3 +433,59 @@ def domain_json(spark, d):
 def run_log_lines(spark, d):
     log = table(spark, d, "edital").select(F.date_format("ingested_at", "yyyy-MM-dd").alias("stamp"), F.coalesce("source", F.lit("-")).alias("flow"), F.lit("Sucesso").alias("result"), F.coalesce("nome", F.lit("-")).alias("note"))
     return rendered_log(log)
+
+
+# --- portals: a page for each record, in the shape of the portal ---------------------------
+def _pages(spark: SparkSession, d: str, source: str, html: list) -> DataFrame:
+    raw = table(spark, d, "raw_edital").where("title is not null").select("raw_id", F.translate("title", "<>&", "   ").alias("title")).distinct()
+    parts = [F.col(x[1:]).cast("string") if x.startswith("$") else F.lit(x) for x in html]
+    return raw.select(F.concat(F.lit(f"https://{source}.example/"), F.col("raw_id")).alias("url"), F.concat(*parts).alias("html"))
+
+
+_TITLES = f"with t as (select distinct raw_id, translate(title, '<>&', '   ') as plain from raw_edital where title is not null), r as (select raw_id, regexp_replace(plain, '^{WS}+|{WS}+$', '', 'g') as title from t)"
+
+
+@query(f"{_TITLES} select 'https://portal.conif.org.br/editais/2026/' || raw_id as url, title from r where title <> ''")
+def listing_conif(spark, d):
+    return portals.conif_listing(_pages(spark, d, "conif", ['<h3><a href="/editais/2026/', "$raw_id", '">', "$title", '</a></h3><a href="/editais/2025/x">antigo</a>']), 2026).select("url", "title")
+
+
+@query(f"{_TITLES} select 'https://www.gov.br/capes/pt-br/' || raw_id as url, title from r where title <> '' and coalesce(list_max(list_transform(regexp_extract_all(title || ' ', '(?:^|[^\\p{{L}}\\p{{N}}_])(20\\d{{2}})(?:[^\\p{{L}}\\p{{N}}_]|$)', 1), lambda y: y::int)) >= 2020, true)")
+def listing_capes(spark, d):
+    return portals.capes_listing(_pages(spark, d, "capes", ['<h2>Editais Abertos</h2><ul><li><a href="/capes/pt-br/', "$raw_id", '">', "$title", '</a><li><a href="/capes/a.pdf">PDF</a></ul><a href="/capes/x">fora</a>']), 2020).select("url", "title")
+
+
+@query(f"{_TITLES} select 'http://memoria2.cnpq.br/x?idDivulgacao=' || raw_id as url, title, '2026-02-25' as opens, '2026-04-13' as closes from r")
+def listing_cnpq(spark, d):
+    cards = portals.cnpq_cards(_pages(spark, d, "cnpq", ['<ul><li><div class="content"><h4>', "$title", '</h4><div class="inscricao"><ul><li>25/02/2026 a 13/04/2026</li></ul></div></div><input value="x?idDivulgacao=', "$raw_id", '"></li></ul>']), 2026)
+    plan = F.col("raw_cronograma")
+    return cards.select("url", "title", sched.opening_date(sched.normalized(plan)).alias("opens"), sched.closing_date(plan, sched.normalized(plan)).alias("closes"))
+
+
+@query(f"{_TITLES} select 'http://www.finep.gov.br/chamadapublica/' || raw_id as url, case when title = '' then 'Chamada FINEP' else title end as title, raw_id % 2 = 0 as in_range from r where title = '' or length(title) >= 5")
+def listing_finep(spark, d):
+    year = F.when(F.element_at(F.split("url", "/"), -1).cast("long") % 2 == 0, "2026").otherwise("2020")
+    pages = _pages(spark, d, "finep", ['<div>Prazo para envio de propostas até: 15/09/@ <a href="/chamadapublica/', "$raw_id", '">', "$title", "</a></div>"])
+    return portals.finep_listing(pages.withColumn("html", F.replace("html", F.lit("@"), year)), 2026).select("url", "title", "in_range")
+
+
+@query("select 'https://proex.ifes.edu.br/f' || raw_id || '.pdf' as url, 'Edital ' || raw_id || '/2026' as title, 2 as n_attachments from (select distinct raw_id from raw_edital where title is not null) where raw_id % 3 > 0")
+def listing_proex(spark, d):
+    name = F.when(F.element_at(F.split("url", "/"), -1).cast("long") % 3 > 0, "Edital").otherwise("Resultado")
+    pages = _pages(spark, d, "proex", ["<h2>Editais abertos</h2><h3>2026</h3><p><strong>Edital ", "$raw_id", '/2026</strong></p><p><a href="/f', "$raw_id", '.pdf">@</a><a href="/form">Ficha</a><a href="/x', "$raw_id", '.docx">Anexo</a></p><h3>2025</h3><p><strong>Edital 1/2026</strong></p><p><a href="/z.pdf">Edital</a></p>'])
+    # without a main document there is no record: a result is none
+    records = portals.proex_records(pages.withColumn("html", F.replace(F.replace("html", F.lit("@"), name), F.when(name == "Resultado", F.lit("/f")).otherwise(F.lit("\x00")), F.lit("/r"))), 2026)
+    return records.select("url", "title", F.size("raw_anexos").alias("n_attachments"))
+
+
+@query("select 'aberto' as status, 'Edital n. ' || raw_id as title, 'k' || raw_id || '$btnDetalhes' as target, '2026-03-30' as start_date, '2026-11-01' as end_date from (select distinct raw_id from raw_edital where title is not null)")
+def listing_prppg(spark, d):
+    pages = _pages(spark, d, "prppg", ['<table id="Conteudo_gvwLista"><tr><td class="font-weight-bold">Edital n. ', "$raw_id", ' <span class="badge badge-outline-dark">30/03/2026 até 01/11/2026</span></td><td><a href="javascript:__doPostBack(\'k', "$raw_id", "\x01btnDetalhes','')\">ver</a></td></tr><tr class=\"gvwPager\"><td>1</td></tr></table>"])
+    return portals.prppg_listing(pages.withColumn("html", F.replace("html", F.lit("\x01"), F.lit("$")))).select("status", "title", "target", "start_date", "end_date")
+
+
+@query("select 'Edital n. ' || raw_id as title, 'https://fapes.es.gov.br/d/' || raw_id || '.pdf' as url, 'Grupo ' || raw_id as group_id, 'pesquisa' as source_category, 1 as n_attachments from (select distinct raw_id from raw_edital where title is not null)")
+def blocks_fapes(spark, d):
+    pages = _pages(spark, d, "fapes", ['<div class="item-edital"><h4>Grupo ', "$raw_id", '</h4><a href="/d/a', "$raw_id", '.pdf">Anexo ', "$raw_id", '</a><a href="/d/', "$raw_id", '.pdf">baixar</a><a href="/d/', "$raw_id", '.pdf">Edital n. ', "$raw_id", "</a></div>"])
+    blocks = portals.fapes_blocks(pages.withColumn("url", F.concat("url", F.lit("/editais-abertos-pesquisa-4"))))
+    return blocks.select("title", "url", "group_id", "source_category", F.size("attachments").alias("n_attachments"))

@@ -311,14 +311,15 @@ class Portal:
     source: str
     listing: Callable[..., DataFrame]
     detail: Callable[..., DataFrame] | None
-    key: str = "url"
+    by_year: bool = True  # the listing is read for one year
+    detail_by_year: bool = True
 
 
 PORTALS = [
-    Portal("fapes", fapes_blocks, None, "title"),
-    Portal("finep", finep_listing, finep_detail),
+    Portal("fapes", fapes_blocks, None, by_year=False),
+    Portal("finep", finep_listing, finep_detail, detail_by_year=False),
     Portal("conif", conif_listing, conif_detail),
-    Portal("prppg_ifes", prppg_listing, prppg_detail),
+    Portal("prppg_ifes", prppg_listing, prppg_detail, by_year=False),
     Portal("proex_ifes", proex_records, None),
     Portal("capes", capes_listing, capes_detail),
     Portal("cnpq", cnpq_cards, None),
