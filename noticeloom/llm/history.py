@@ -93,8 +93,11 @@ def _counted(df: DataFrame, label: str, **measures: Column) -> tuple[DataFrame,
 
 
 def _light(df: DataFrame, rows: int, width: int) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows of ``width`` bytes are few enough."""
-    return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df
+    """``df`` with a broadcast hint if its counted rows of ``width`` bytes are few enough.
+
+    A batch broadcasts many times and the driver holds each for a while: a quarter of the usual bound.
+    """
+    return F.broadcast(df) if rows * width <= BROADCAST_BYTES // 4 else df
 
 
 class HistoryIndex:
@@ -111,7 +114,7 @@ class HistoryIndex:
         except AnalysisException:
             last = None
         if last:
-            self.buckets, self.parts, self.size, self.turn, self.filled = last["buckets"], last["parts"], last["size"], last["turn"], set(last["filled"])
+            self.buckets, self.parts, self.size, self.turn, self.filled = last["buckets"], last["parts"], last["size"], last["turn"], set(map(int, filter(None, last["filled"].split(","))))
 
     def _nodes(self, numbers: Iterable[int]) -> DataFrame:
         """The index's nodes of some buckets; no other directory is listed or read."""
@@ -204,8 +207,8 @@ class HistoryIndex:
         self._store(new)
         self._regrown()
         self.parts += 1
-        state = [(self.buckets, self.parts, self.size, self.turn, sorted(self.filled))]
-        self.spark.createDataFrame(state, "buckets int, parts int, size bigint, turn int, filled array<int>").coalesce(1).write.mode("append").parquet(f"{self.path}/state")
+        state = {"buckets": self.buckets, "parts": self.parts, "size": self.size, "turn": self.turn, "filled": ",".join(map(str, sorted(self.filled)))}
+        self.spark.range(1).select(*[F.lit(v).alias(k) for k, v in state.items()]).coalesce(1).write.mode("append").parquet(f"{self.path}/state")
 
 
 def components(start: DataFrame, edges: DataFrame) -> DataFrame:
