@@ -96,3 +96,16 @@ def test_opened_again(spark, tmp_path):
     late = [(50, A, None, 1, ""), (51, A.replace("12/", "4/"), None, 1, "")]
     again.seen(read_rows(spark.createDataFrame(late, SCHEMA), "edital_id", "nome", "link", "batch_no", ["fapes"]))
     assert {r.id: r.call for r in again.found().where("id >= 50").collect()} == {50: 1, 51: 4}
+
+
+def test_small_batches_are_put_together_in_one_task(spark, monkeypatch):
+    """Labels without a round over all tasks, with ids that no float holds."""
+    from noticeloom.llm import history
+
+    far = 2**62
+    edges = spark.createDataFrame([(far + i, far + i + 1) for i in range(40)] + [(7, -5), (-5, 7)], "a bigint, b bigint")
+    start = spark.createDataFrame([(far + i, far + 41 - i) for i in range(41)] + [(7, far + 3), (-5, far + 5), (200, 9)], "node bigint, first bigint")
+    want = {far + i: far + 1 for i in range(41)} | {7: far + 3, -5: far + 3, 200: 9}
+    monkeypatch.setattr(history, "written", None)  # nothing is written on the way
+    got = components(start, edges, 86).collect()
+    assert len(got) == 44 and {r.node: r.label for r in got} == want
